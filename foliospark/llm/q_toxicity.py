@@ -1 +1,57 @@
-from .queries import LLM  # noqa: F401
+"""p10: scores of abusive, hateful or sexual content and rates per source."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import read_table
+from .queries import LLM
+from .toxicity import MAX_NEGATIVE, MAX_POSITIVE, Scorer, train
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame) -> list:
+    """At most MAX_POSITIVE marked and MAX_NEGATIVE unmarked documents, in hash order; a document marked once is marked."""
+    mark = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    order = F.xxhash64("doc_id")
+    some = mark.where("toxic = 1").orderBy(order).limit(MAX_POSITIVE).union(mark.where("toxic = 0").orderBy(order).limit(MAX_NEGATIVE))
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").orderBy("doc_id").collect()
+
+
+def scored(spark, sf_dir) -> tuple[DataFrame, float]:
+    """``doc_id, source, score`` of every document and the threshold; null, empty and blank texts score 0."""
+    docs = read_table(spark, sf_dir, "documents")
+    rows = labelled_sample(docs, read_table(spark, sf_dir, "labels"))
+    params, threshold = train([r["text"] for r in rows], [int(r["toxic"]) for r in rows])
+    model = spark.sparkContext.broadcast(params)  # of fixed size
+
+    def run(batches):
+        scorer = Scorer(model.value) if model.value else None
+        for b in batches:
+            texts = b.column(2).to_pylist()
+            scores = scorer.documents(texts) if scorer else [0.0] * len(texts)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64())], ["doc_id", "source", "score"])
+
+    return docs.select("doc_id", "source", "text").mapInArrow(run, "doc_id bigint, source string, score double"), threshold
+
+
+@LLM.add("p10_found")
+def p10_found(spark, sf_dir):
+    """The documents with such a passage."""
+    s, threshold = scored(spark, sf_dir)
+    return s.where(F.col("score") >= threshold).select("doc_id")
+
+
+@LLM.add("p10_scores")
+def p10_scores(spark, sf_dir):
+    """The score of every document."""
+    return scored(spark, sf_dir)[0].select("doc_id", F.round("score", 6).alias("score"))
+
+
+@LLM.add("p10_rates")
+def p10_rates(spark, sf_dir):
+    """Documents, flagged documents and their share for each source."""
+    s, threshold = scored(spark, sf_dir)
+    flag = (F.col("score") >= threshold).cast("bigint")
+    return s.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(flag).alias("n_flagged"), F.avg(flag).alias("rate"), F.avg("score").alias("mean_score"))
