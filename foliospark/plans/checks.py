@@ -1 +1,171 @@
-from .registry import CORE  # noqa: F401
+"""Queries that check ingested and augmented data. Small rasters: the 64 numbers of a vector as 8 x 8 gray pixels."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions.text import strip
+from ..functions.vectors import dot
+from ..session import read_table
+from .registry import CORE
+
+MIN_ROWS, MAX_BLANK, MIN_INSIDE = 100, 0.05, 0.95
+_SPLIT = "case when lower(trim(split)) = 'val' then 'validation' else lower(trim(split)) end"
+_WS = r"[\s\x0b\x1c-\x1f\x85\pZ]"
+
+
+def _split():
+    s = F.lower(F.trim("split"))
+    return F.when(s == "val", "validation").otherwise(s)
+
+
+@CORE.add("split_counts", f"select {_SPLIT} as split, count(*) as n, count(*) >= 100 as passed from line_images group by 1")
+def split_counts(spark, sf_dir):
+    """A01 Q-I1: rows of each split and whether they suffice."""
+    return read_table(spark, sf_dir, "line_images").groupBy(_split().alias("split")).agg(F.count("*").alias("n"), (F.count("*") >= MIN_ROWS).alias("passed"))
+
+
+@CORE.add("blank_transcriptions", f"select {_SPLIT} as split, count(*) filter (where regexp_replace(coalesce(transcription, ''), '{_WS}+', '', 'g') = '') as n_blank, round(count(*) filter (where regexp_replace(coalesce(transcription, ''), '{_WS}+', '', 'g') = '') / cast(count(*) as double), 6) as share from line_images group by 1")
+def blank_transcriptions(spark, sf_dir):
+    """A04 Q-I4: blank transcriptions of each split."""
+    blank = (strip(F.coalesce("transcription", F.lit(""))) == "").cast("bigint")
+    return read_table(spark, sf_dir, "line_images").groupBy(_split().alias("split")).agg(F.sum(blank).alias("n_blank"), F.round(F.sum(blank) / F.count("*"), 6).alias("share"))
+
+
+_IHDR = "cast('0x' || substr(hex(image_png), 33, 8) as bigint) as width, cast('0x' || substr(hex(image_png), 41, 8) as bigint) as height"
+
+
+def _sizes(spark, sf_dir):
+    """Width and height from the header bytes, without decoding; null where there is no PNG header."""
+    i = read_table(spark, sf_dir, "line_images")
+    head = F.hex(F.substring("image_png", 1, 24))
+    n = lambda at: F.when(head.startswith("89504E470D0A1A0A") & (F.length(head) == 48), F.conv(F.substring(head, at, 8), 16, 10).cast("bigint"))
+    return i.select(_split().alias("split"), n(33).alias("width"), n(41).alias("height"))
+
+
+@CORE.add(
+    "image_bounds",
+    f"with s as (select {_SPLIT} as split, {_IHDR} from line_images where substr(hex(image_png), 1, 16) = '89504E470D0A1A0A' and length(hex(image_png)) >= 48) select split, count(*) as n, count(*) filter (where height between 16 and 512 and width between 32 and 4096) as inside, min(width) as min_width, max(width) as max_width from s group by 1",
+)
+def image_bounds(spark, sf_dir):
+    """Q-I5: pictures whose size lies within the bounds."""
+    s = _sizes(spark, sf_dir).where("width is not null")
+    ok = (F.col("height").between(16, 512) & F.col("width").between(32, 4096)).cast("bigint")
+    return s.groupBy("split").agg(F.count("*").alias("n"), F.sum(ok).alias("inside"), F.min("width").alias("min_width"), F.max("width").alias("max_width"))
+
+
+@CORE.add(
+    "ingestion_checks",
+    f"""with b as (select count(*) as n, count(*) filter (where regexp_replace(coalesce(transcription, ''), '{_WS}+', '', 'g') = '') as blank from line_images),
+    m as (select min(n) as least from (select count(*) as n from line_images group by {_SPLIT})),
+    s as (select count(*) as n, count(*) filter (where height between 16 and 512 and width between 32 and 4096) as inside from (select {_IHDR} from line_images where substr(hex(image_png), 1, 16) = '89504E470D0A1A0A' and length(hex(image_png)) >= 48)),
+    c as (select 'I0 any rows' as check_name, n > 0 as passed from b union all select 'I1 rows per split', coalesce(least, 0) >= 100 from m union all select 'I4 blank transcriptions', case when n = 0 then false else blank / cast(n as double) <= 0.05 end from b union all select 'I5 sizes', case when n = 0 then false else inside / cast(n as double) >= 0.95 end from s)
+    select check_name, passed from c union all select 'all', bool_and(passed) from c""",
+)
+def ingestion_checks(spark, sf_dir):
+    """Q-I0 Q-I1 Q-I4 Q-I5 A12 Q-EXIT: one row for each check and one for all together; an empty table fails."""
+    i = read_table(spark, sf_dir, "line_images")
+    sizes = _sizes(spark, sf_dir)
+    blank = (strip(F.coalesce("transcription", F.lit(""))) == "").cast("bigint")
+    a = i.agg(F.count("*").alias("n"), F.sum(blank).alias("blank"))
+    m = i.groupBy(_split().alias("split")).agg(F.count("*").alias("n")).agg(F.coalesce(F.min("n"), F.lit(0)).alias("least"))
+    ok = (F.col("height").between(16, 512) & F.col("width").between(32, 4096)).cast("bigint")
+    s = sizes.where("width is not null").agg(F.count("*").alias("n"), F.sum(ok).alias("inside"))
+    share = lambda x, n: F.coalesce(F.try_divide(F.col(x), F.col(n)), F.lit(None))
+    rows = a.select(F.lit("I0 any rows").alias("check_name"), (F.col("n") > 0).alias("passed"))
+    rows = rows.union(m.select(F.lit("I1 rows per split"), F.col("least") >= MIN_ROWS)).union(a.select(F.lit("I4 blank transcriptions"), F.coalesce(share("blank", "n") <= MAX_BLANK, F.lit(False)))).union(s.select(F.lit("I5 sizes"), F.coalesce(share("inside", "n") >= MIN_INSIDE, F.lit(False))))
+    return rows.union(rows.agg(F.lit("all"), F.bool_and("passed")))
+
+
+_PIX = "pix as (select vec_id, label, list_transform(embedding, lambda x: cast(floor((cast(x as double) + 1) * 127.5) as int)) as p from embeddings)"
+_PIXSTAT = f"{_PIX}, st as (select vec_id, label, p, list_avg(p) as mean, sqrt(list_avg(list_transform(p, lambda x: x * x)) - list_avg(p) * list_avg(p)) as std, len(list_filter(p, lambda x: x > 240)) / cast(len(p) as double) as white from pix)"
+
+
+def _pixels(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    p = e.select("vec_id", "label", F.transform("embedding", lambda x: F.floor((x.cast("double") + 1) * 127.5).cast("int")).alias("p"))
+    total = F.aggregate("p", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    squares = F.aggregate("p", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
+    n = F.size("p").cast("double")
+    p = p.withColumn("mean", total / n)
+    return p.withColumn("std", F.sqrt(squares / n - F.col("mean") * F.col("mean"))).withColumn("white", F.size(F.filter("p", lambda x: x > 240)) / n)
+
+
+@CORE.add("ahash_near_dups", f"with {_PIXSTAT}, h as (select label, array_to_string(list_transform(p, lambda x: case when x > mean then '1' else '0' end), '') as hash from st) select label, count(*) as n, count(*) - count(distinct hash) as n_duplicates from h group by 1")
+def ahash_near_dups(spark, sf_dir):
+    """I10 A05 Q-DUP: near duplicates by average hash, for each label."""
+    bits = F.concat_ws("", F.transform("p", lambda x: F.when(x > F.col("mean"), "1").otherwise("0")))
+    h = _pixels(spark, sf_dir).select("label", bits.alias("hash"))
+    per = h.groupBy("label", "hash").agg(F.count("*").alias("k"))
+    return per.groupBy("label").agg(F.sum("k").alias("n"), F.sum(F.col("k") - 1).alias("n_duplicates"))
+
+
+@CORE.add("blank_images", f"with {_PIXSTAT} select label, count(*) as n, count(*) filter (where std < 5.0 or white > 0.95) as n_blank, round(avg(round(mean, 2)), 4) as mean_of_means, round(avg(round(std, 2)), 4) as mean_of_stds from st group by 1")
+def blank_images(spark, sf_dir):
+    """Q-BLANK A06 A14: blank pictures and means of rounded statistics, for each label."""
+    p = _pixels(spark, sf_dir)
+    blank = ((F.col("std") < 5.0) | (F.col("white") > 0.95)).cast("bigint")
+    return p.groupBy("label").agg(F.count("*").alias("n"), F.sum(blank).alias("n_blank"), F.round(F.avg(F.round("mean", 2)), 4).alias("mean_of_means"), F.round(F.avg(F.round("std", 2)), 4).alias("mean_of_stds"))
+
+
+@CORE.add(
+    "split_drift",
+    f"with {_PIXSTAT}, s as (select label % 5 as base, label >= 5 as augmented, avg(mean) as mean, avg(std) as std from st group by 1, 2) select a.base, round(abs(a.mean - b.mean) / 255, 6) as mean_drift, round(abs(a.std - b.std) / 255, 6) as std_drift, abs(a.mean - b.mean) / 255 <= 0.15 as passed from s a join s b on a.base = b.base and not a.augmented and b.augmented",
+)
+def split_drift(spark, sf_dir):
+    """Q-DRIFT J06: drift of brightness between a split and its augmented one (labels l and l + 5)."""
+    p = _pixels(spark, sf_dir).groupBy((F.col("label") % 5).alias("base")).agg(*(F.avg(F.when((F.col("label") >= 5) == aug, F.col(c))).alias(f"{c}_{k}") for c in ("mean", "std") for k, aug in (("a", False), ("b", True))))
+    d = lambda c: F.abs(F.col(f"{c}_a") - F.col(f"{c}_b")) / 255
+    return p.where("mean_a is not null and mean_b is not null").select("base", F.round(d("mean"), 6).alias("mean_drift"), F.round(d("std"), 6).alias("std_drift"), (d("mean") <= 0.15).alias("passed"))
+
+
+_MMD = """v as (select vec_id, label < 5 as ref, vec_id // 100 as b, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings),
+r as (select *, row_number() over (partition by ref, b order by vec_id) as rn from v),
+x as (select a.b, (a.rn - 1) // 2 as k, a.e as x1, c.e as x2 from r a join r c on a.ref and c.ref and a.b = c.b and a.rn % 2 = 1 and c.rn = a.rn + 1),
+y as (select a.b, (a.rn - 1) // 2 as k, a.e as y1, c.e as y2 from r a join r c on not a.ref and not c.ref and a.b = c.b and a.rn % 2 = 1 and c.rn = a.rn + 1),
+h as (select exp(-(list_dot_product(x1, x1) + list_dot_product(x2, x2) - 2 * list_dot_product(x1, x2)) / 2) + exp(-(list_dot_product(y1, y1) + list_dot_product(y2, y2) - 2 * list_dot_product(y1, y2)) / 2)
+  - exp(-(list_dot_product(x1, x1) + list_dot_product(y2, y2) - 2 * list_dot_product(x1, y2)) / 2) - exp(-(list_dot_product(x2, x2) + list_dot_product(y1, y1) - 2 * list_dot_product(x2, y1)) / 2) as h from x join y using (b, k))"""
+
+
+@CORE.add("mmd_drift", f"with {_MMD} select count(*) as n_pairs, round(avg(h), 6) as mmd, round(stddev_samp(h) / sqrt(count(*)), 6) as standard_error, avg(h) > 1.96 * stddev_samp(h) / sqrt(count(*)) as drift from h")
+def mmd_drift(spark, sf_dir):
+    """The linear-time maximum mean discrepancy (Gretton et al. 2012) between labels below 5 and the rest.
+
+    Each side is paired within blocks of ids, so the cost is linear and no pair of all rows is ever formed.
+    """
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") < 5).alias("ref"), F.expr("vec_id div 100").alias("b"), "embedding")
+    w = Window.partitionBy("ref", "b").orderBy("vec_id")
+    r = e.withColumn("rn", F.row_number().over(w)).withColumn("k", F.expr("(rn - 1) div 2"))
+    two = r.groupBy("ref", "b", "k").agg(F.max(F.when(F.col("rn") % 2 == 1, F.col("embedding"))).alias("p"), F.max(F.when(F.col("rn") % 2 == 0, F.col("embedding"))).alias("q")).where("q is not null")
+    x, y = two.where("ref").select("b", "k", F.col("p").alias("x1"), F.col("q").alias("x2")), two.where("not ref").select("b", "k", F.col("p").alias("y1"), F.col("q").alias("y2"))
+
+    def kernel(a, b):
+        a, b = F.col(a), F.col(b)
+        return F.exp(-(dot(a, a) + dot(b, b) - 2 * dot(a, b)) / 2)
+
+    h = x.join(y, ["b", "k"]).select((kernel("x1", "x2") + kernel("y1", "y2") - kernel("x1", "y2") - kernel("x2", "y1")).alias("h"))
+    se = F.stddev_samp("h") / F.sqrt(F.count("*"))
+    return h.agg(F.count("*").alias("n_pairs"), F.round(F.avg("h"), 6).alias("mmd"), F.round(se, 6).alias("standard_error"), (F.avg("h") > 1.96 * se).alias("drift"))
+
+
+@CORE.add(
+    "enum_checks",
+    """select 'documents.source' as column_name, count(*) filter (where source is null or source not in ('user_upload', 'synthetic', 'test')) as n_bad from documents
+    union all select 'search_feedback.feedback_type', count(*) filter (where feedback_type is null or feedback_type not in ('click', 'thumbs_up', 'thumbs_down')) from search_feedback""",
+)
+def enum_checks(spark, sf_dir):
+    """Q-CHK: values outside the declared sets."""
+    bad = lambda t, c, ok: read_table(spark, sf_dir, t).agg(F.sum((~F.coalesce(F.col(c).isin(*ok), F.lit(False))).cast("bigint")).alias("n_bad")).select(F.lit(f"{t}.{c}").alias("column_name"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"))
+    return bad("documents", "source", ("user_upload", "synthetic", "test")).union(bad("search_feedback", "feedback_type", ("click", "thumbs_up", "thumbs_down")))
+
+
+@CORE.add("repeated_rows", "select 'corrections' as tab, count(*) - count(distinct correction_id) as n_repeated from corrections union all select 'query_sessions', count(*) - count(distinct id) from query_sessions union all select 'search_feedback', count(*) - count(distinct id) from search_feedback union all select 'document_pages', count(*) - count(distinct id) from document_pages union all select 'handwritten_regions', count(*) - count(distinct id) from handwritten_regions")
+def repeated_rows(spark, sf_dir):
+    """Unique keys are asserted, not assumed: rows delivered again, for each table."""
+    keys = (("corrections", "correction_id"), ("query_sessions", "id"), ("search_feedback", "id"), ("document_pages", "id"), ("handwritten_regions", "id"))
+    out = None
+    for t, k in keys:
+        one = read_table(spark, sf_dir, t).groupBy(k).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - F.when(F.col(k).isNull(), 0).otherwise(1)), F.lit(0)).alias("n_repeated")).select(F.lit(t).alias("tab"), "n_repeated")
+        out = one if out is None else out.union(one)
+    return out

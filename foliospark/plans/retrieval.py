@@ -1 +1,82 @@
-from .registry import CORE  # noqa: F401
+"""Queries on chunking, vector search and its fallbacks. Documents of the vector table: vec_id div 5; label 9 marks deleted ones."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.text import uuid5_dns
+from ..operators import search as op
+from ..session import read_table
+from .registry import CORE
+
+_CHUNKS = r"""w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\s\x0b\x1c-\x1f\x85\pZ]+'), lambda x: x <> '') as w from documents),
+c as (select doc_id, w[i + 1 : i + 256] as p, i from (select doc_id, w, unnest(range(0, len(w), 64)) as i from w where len(w) >= 10)),
+chunks as (select doc_id, cast(row_number() over (partition by doc_id order by i) - 1 as int) as chunk_index, cast(len(p) as int) as n_words, array_to_string(p, ' ') as chunk_text from c where len(p) >= 10)"""
+
+
+def _chunks(spark, sf_dir):
+    return op.chunks(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@CORE.add("text_chunks", f"with {_CHUNKS} select * from chunks")
+def text_chunks(spark, sf_dir):
+    """Overlapping windows of words."""
+    return _chunks(spark, sf_dir)
+
+
+@CORE.add(
+    "chunk_point_ids",
+    f"""with {_CHUNKS} select doc_id, chunk_index, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || substr('89ab', cast(cast('0x' || substr(d, 17, 1) as bigint) % 4 + 1 as int), 1) || substr(d, 18, 3) || '-' || substr(d, 21, 12) as point_id
+    from (select doc_id, chunk_index, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(doc_id || '_' || chunk_index)) as d from chunks)""",
+)
+def chunk_point_ids(spark, sf_dir):
+    """Stable point ids of chunks."""
+    return _chunks(spark, sf_dir).select("doc_id", "chunk_index", uuid5_dns(F.concat_ws("_", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string"))).alias("point_id"))
+
+
+_TOP = """v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e, label from embeddings),
+scored as (select q.vec_id as query_id, v.vec_id, list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))) as score from v q, v where q.vec_id % 50 = 0 and v.label <> 9),
+ten as (select * from (select *, row_number() over (partition by query_id order by round(score, 12) desc, vec_id) as rn from scored) where rn <= 10),
+one as (select * from (select *, vec_id // 5 as document, row_number() over (partition by query_id, vec_id // 5 order by round(score, 12) desc, vec_id) as k from ten) where k = 1),
+five as (select query_id, vec_id, document, round(score, 6) as score, cast(rank as int) as rank from (select *, row_number() over (partition by query_id order by round(score, 12) desc, vec_id) as rank from one) where rank <= 5)"""
+
+
+def _top(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    hits = op.top_k(e.where("vec_id % 50 = 0"), e.where("label <> 9"), "vec_id", "embedding", 10)
+    return op.best_per_document(hits, F.expr("vec_id div 5"), 5).select("query_id", "vec_id", "document", F.round("score", 6).alias("score"), "rank")
+
+
+@CORE.add("topk_search", f"with {_TOP} select * from five")
+def topk_search(spark, sf_dir):
+    """The five best documents among the ten nearest chunks, for every query."""
+    return _top(spark, sf_dir)
+
+
+@CORE.add("keyword_fallback", f"with {_TOP} select query_id, round(coalesce(max(score), 0), 4) as best, coalesce(max(score), 0) < 0.4 as fallback from five group by 1")
+def keyword_fallback(spark, sf_dir):
+    """Queries whose best score is too low for semantic search alone."""
+    return _top(spark, sf_dir).groupBy("query_id").agg(F.round(F.coalesce(F.max("score"), F.lit(0.0)), 4).alias("best"), (F.coalesce(F.max("score"), F.lit(0.0)) < 0.4).alias("fallback"))
+
+
+@CORE.add(
+    "hybrid_hits",
+    f"with {_TOP}, kw as (select q.vec_id as query_id, v.vec_id // 5 as document, count(*) as n_keyword from embeddings q join embeddings v on q.label = v.label where q.vec_id % 50 = 0 and v.label <> 9 group by 1, 2) select coalesce(f.query_id, k.query_id) as query_id, coalesce(f.document, k.document) as document, f.score as semantic, coalesce(k.n_keyword, 0) as n_keyword from five f full join kw k on f.query_id = k.query_id and f.document = k.document",
+)
+def hybrid_hits(spark, sf_dir):
+    """Semantic hits and hits by label in one list, each document once for each query."""
+    e = read_table(spark, sf_dir, "embeddings")
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label")
+    per = e.where("label <> 9").groupBy("label", F.expr("vec_id div 5").alias("document")).agg(F.count("*").alias("n_keyword"))
+    kw = q.join(per, "label").select("query_id", "document", "n_keyword")
+    return _top(spark, sf_dir).select("query_id", "document", F.col("score").alias("semantic")).join(kw, ["query_id", "document"], "full").select("query_id", "document", "semantic", F.coalesce("n_keyword", F.lit(0)).alias("n_keyword"))
+
+
+@CORE.add(
+    "latest_points",
+    "select doc, vec_id, label from (select vec_id // 5 as doc, vec_id, label, row_number() over (partition by vec_id // 5 order by vec_id desc) as rn from embeddings) where rn = 1",
+)
+def latest_points(spark, sf_dir):
+    """The last version of each point after an upsert."""
+    e = read_table(spark, sf_dir, "embeddings").select(F.expr("vec_id div 5").alias("doc"), "vec_id", "label")
+    return op.keep_latest(e, "doc", F.col("vec_id").desc())
