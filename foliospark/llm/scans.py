@@ -49,7 +49,9 @@ def _pair_rows(words: dict[str, int]):
                 if not text:
                     continue
                 tokens = text.replace("\n", " \0 ").split(" ") if "\n" in text else text.split(" ")  # no pair over a line's end
-                for t in set(tokens) - raw.keys():
+                for t in set(tokens):
+                    if t in raw:
+                        continue
                     k = number.get(core(t), -1)
                     raw[t] = 2 * k + (t[-1] in EDGE) if k >= 0 else -1  # odd: a point follows, so nothing is paired with it
                 ids = np.fromiter(map(raw.__getitem__, tokens), np.int64, len(tokens))
