@@ -32,10 +32,11 @@ def bucket_10000(c: Column | str) -> Column:
 
 
 def uuid5_dns(name: Column) -> Column:
-    """uuid5 of a name in the DNS namespace."""
+    """uuid5 of a name in the DNS namespace; null gives null."""
     digest = F.sha1(F.concat(F.unhex(F.lit("6ba7b8109dad11d180b400c04fd430c8")), F.encode(name, "utf-8")))
     variant = F.substring(F.lit("89ab"), F.pmod(F.conv(F.substring(digest, 17, 1), 16, 10).cast("int"), F.lit(4)) + 1, F.lit(1))
-    return F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("5"), F.substring(digest, 14, 3)), F.concat(variant, F.substring(digest, 18, 3)), F.substring(digest, 21, 12))
+    dashed = F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("5"), F.substring(digest, 14, 3)), F.concat(variant, F.substring(digest, 18, 3)), F.substring(digest, 21, 12))
+    return F.when(digest.isNotNull(), dashed)
 
 
 def sql_bucket(expr: str) -> str:

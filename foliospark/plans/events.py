@@ -1 +1,94 @@
-from .registry import CORE  # noqa: F401
+"""Queries on event streams, in their batch form, and a replay through Structured Streaming."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..session import read_table, shared_dir
+from ..streaming.jobs import drift_windows, session_windows
+from .registry import CORE
+
+
+def _events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@CORE.add(
+    "drift_alert_windows",
+    """with w as (select distinct e.event_id, date_trunc('minute', ts) - to_minutes(cast(k as int)) as start from events e, range(0, 5) r(k) where event_type = 'error'),
+    c as (select start, count(*) as n from w group by 1), f as (select *, n / 300.0 > 0.003 as over from c),
+    g as (select *, coalesce(lag(over) over (order by start) and lag(start) over (order by start) = start - interval 1 minute, false) as before from f)
+    select start, n, over and before as alert from g""",
+)
+def drift_alert_windows(spark, sf_dir):
+    """Windows of five minutes whose rate passes the threshold, alerting when the window before did too."""
+    f = drift_windows(_events(spark, sf_dir).where("event_type = 'error'"), "ts").withColumn("over", F.col("rate") > 0.003)
+    before = f.select((F.col("start") + F.expr("interval 1 minute")).alias("start"), F.col("over").alias("before"))
+    return f.join(before, "start", "left").select(F.col("start").cast("timestamp_ntz").alias("start"), "n", (F.col("over") & F.coalesce("before", F.lit(False))).alias("alert"))
+
+
+@CORE.add("drift_minute_median", "select date_trunc('hour', ts) as hour, round(median(value), 6) as median_value from events group by 1")
+def drift_minute_median(spark, sf_dir):
+    """The median of the statistic in tumbling windows."""
+    e = _events(spark, sf_dir)
+    return e.groupBy(F.window("ts", "1 hour")["start"].cast("timestamp_ntz").alias("hour")).agg(F.round(F.median("value"), 6).alias("median_value"))
+
+
+_PHASE = "case when i < n * 0.2 then 1 when i < n * 0.8 then 2 else 3 end"
+
+
+@CORE.add(
+    "traffic_mix",
+    f"""with r as (select i, 10000 as n, cast('0x' || substr(md5('traffic:' || i), 1, 8) as bigint) / 4294967296.0 as u from range(0, 10000) t(i)),
+    p as (select *, {_PHASE} as phase from r)
+    select cast(phase as int) as phase, case when u < (case phase when 1 then 0.5 when 2 then 0.3 else 0.2 end) then 'upload' when u < 0.7 then 'search' when u < 0.9 then 'feedback' else 'correction' end as action, count(*) as n from p group by 1, 2""",
+)
+def traffic_mix(spark, sf_dir):
+    """A deterministic event generator with three phases and weights, counted by action."""
+    r = spark.range(10000).select(F.col("id").alias("i"), (F.conv(F.substring(F.md5(F.concat(F.lit("traffic:"), F.col("id").cast("string"))), 1, 8), 16, 10).cast("double") / 4294967296.0).alias("u"))
+    phase = F.when(F.col("i") < 2000, 1).when(F.col("i") < 8000, 2).otherwise(3)
+    cut = F.when(F.col("phase") == 1, 0.5).when(F.col("phase") == 2, 0.3).otherwise(0.2)
+    action = F.when(F.col("u") < cut, "upload").when(F.col("u") < 0.7, "search").when(F.col("u") < 0.9, "feedback").otherwise("correction")
+    return r.withColumn("phase", phase).groupBy("phase", action.alias("action")).agg(F.count("*").alias("n"))
+
+
+@CORE.add("feedback_mix", "select case when u < 0.6 then 'click' when u < 0.85 then 'thumbs_up' else 'thumbs_down' end as feedback_type, count(*) as n from (select cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) / 4294967296.0 as u from events) group by 1")
+def feedback_mix(spark, sf_dir):
+    """Feedback kinds drawn by hash in the shares 60, 25 and 15."""
+    u = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("double") / 4294967296.0
+    return read_table(spark, sf_dir, "events").groupBy(F.when(u < 0.6, "click").when(u < 0.85, "thumbs_up").otherwise("thumbs_down").alias("feedback_type")).agg(F.count("*").alias("n"))
+
+
+@CORE.add(
+    "follow_up_traffic",
+    "select e.event_id, e.user_id, max(s.ts) as last_view from events e join events s on s.user_id = e.user_id and s.event_type = 'view' and s.ts <= e.ts where e.event_type = 'click' group by 1, 2",
+)
+def follow_up_traffic(spark, sf_dir):
+    """Clicks with the newest view of the same user before them; none without an earlier view."""
+    e = read_table(spark, sf_dir, "events").where("event_type in ('click', 'view')").select("event_id", "user_id", "event_type", "ts")
+    w = Window.partitionBy("user_id").orderBy("ts", (F.col("event_type") == "click").cast("int")).rowsBetween(Window.unboundedPreceding, 0)
+    return e.withColumn("last_view", F.max(F.when(F.col("event_type") == "view", F.col("ts"))).over(w)).where("event_type = 'click' and last_view is not null").select("event_id", "user_id", "last_view")
+
+
+@CORE.add(
+    "event_sessions",
+    """with f as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minutes then 0 else 1 end as s from events), g as (select *, sum(s) over (partition by user_id order by ts rows unbounded preceding) as k from f)
+    select user_id, min(ts) as start, max(ts) + interval 30 minutes as "end", count(*) as n from g group by user_id, k""",
+)
+def event_sessions(spark, sf_dir):
+    """Session windows of each user in batch form."""
+    s = session_windows(_events(spark, sf_dir), "ts", "user_id")
+    return s.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+@CORE.add("stream_replay", "select event_type, count(*) as n, round(sum(value), 4) as total from events group by 1")
+def stream_replay(spark, sf_dir):
+    """The events replayed as a stream into a table, equal to the batch result."""
+    base = f"{shared_dir(spark)}/replay-{uuid.uuid4().hex}"
+    src = read_table(spark, sf_dir, "events")
+    q = spark.readStream.schema(src.schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*").writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(src.schema).parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
