@@ -1,9 +1,9 @@
 """Abusive, hateful or sexual content: a bidirectional gated recurrent network with attention pooling.
 
 Inputs are words and their character trigrams, both hashed; windows of ``WINDOW`` words overlap by half and all
-of them are scored, a document by its highest window. Marks are given for documents, not passages, so training
-alternates between choosing the windows that carry each marked document and fitting the network (numpy, on the
-driver, on at most ``MAX_POSITIVE`` + ``MAX_NEGATIVE`` labelled documents). Workers keep the input projections of
+of them are scored, a document by its highest window. Marks are given for documents, not passages, so the windows
+that carry each marked document are chosen first, across two halves of them, and the network fitted on these (numpy, on
+the driver, on at most ``MAX_POSITIVE`` + ``MAX_NEGATIVE`` labelled documents). Workers keep the input projections of
 distinct words, so a step of the recurrence is one small product.
 """
 
@@ -17,7 +17,7 @@ import numpy as np
 
 WINDOW, STRIDE = 24, 12
 DIM, HIDDEN, BUCKETS = 24, 16, 1 << 14
-MAX_POSITIVE, MAX_NEGATIVE = 1000, 3000
+MAX_POSITIVE, MAX_NEGATIVE = 1000, 6000
 WORDS_KEPT = 200_000
 
 #: Letters of other scripts and signs that stand for a Latin letter.
@@ -358,15 +358,22 @@ class Scorer:
         return out
 
 
-def _log_odds(docs: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
-    """Log odds of each word number by documents, to choose the first windows."""
-    pos, neg = np.full(size, 0.1), np.full(size, 0.1 * max(1.0, (y == 0).sum() / max(1, (y == 1).sum())))
-    for ids, mark in zip(docs, y):
-        (pos if mark else neg)[np.unique(ids)] += 1
-    return np.log(pos / (y == 1).sum()) - np.log(neg / max(1, (y == 0).sum()))
+def _first_choice(docs: list[np.ndarray], win: np.ndarray, own: np.ndarray, y: np.ndarray, part: np.ndarray, size: int) -> np.ndarray:
+    """A score of each window to start from: the four words most telling of marked documents.
+
+    Words are counted by documents, the window's own left out, so a name that only one marked document holds tells nothing.
+    """
+    pos, neg = np.zeros(size), np.zeros(size)
+    for k in np.flatnonzero(part):
+        (pos if y[k] else neg)[np.unique(docs[k])] += 1
+    n_pos, n_neg = max(1, (y[part] == 1).sum()), max(1, (y[part] == 0).sum())
+    odds = lambda p: np.log((p + 0.05) / n_pos) - np.log((neg + 0.5) / n_neg)
+    mine = np.where((y[own] == 1)[:, None], odds(np.maximum(pos - 1, 0))[win], odds(pos)[win])
+    mine[win == 0] = 0.0
+    return np.sort(mine, axis=1)[:, -4:].sum(axis=1)
 
 
-def train(texts: list[str | None], marks: list[int], rounds: int = 4, epochs: int = 3, seed: int = 7) -> tuple[dict[str, np.ndarray], float]:
+def train(texts: list[str | None], marks: list[int], epochs: int = 10, seed: int = 7) -> tuple[dict[str, np.ndarray], float]:
     """Parameters and the threshold of the document score, from labelled documents.
 
     A fifth of the documents is held back from the fit to set the threshold. Without a positive and a negative mark
@@ -379,17 +386,15 @@ def train(texts: list[str | None], marks: list[int], rounds: int = 4, epochs: in
     docs, y = [d for d, k in zip(docs, keep) if k], y[keep] if len(y) else y
     if not len(y) or y.min() == y.max():
         return {}, 1.0
-    odds = _log_odds(docs, y, len(lex.row) + 1)
-    odds[0] = 0.0
     parts = [windows_of(d) for d in docs]
     own = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     win = np.concatenate(parts)
-    top = np.sort(odds[win], axis=1)[:, -4:].sum(axis=1)
     held = np.zeros(len(docs), bool)
     held[np.random.default_rng(seed).permutation(len(docs))[: len(docs) // 5]] = True
     if y[~held].max() == 0 or y[held].sum() < 3:
         held[:] = False
-    net = _fit(win, own, y, ~held, top, lex.flat, rounds, epochs, seed)
+    top = _first_choice(docs, win, own, y, ~held, len(lex.row) + 1)
+    net = _fit(win, own, y, ~held, top, lex.flat, epochs, seed)
     if not held.any():
         return net.p, 0.5
     fast = Scorer(net.p)
@@ -408,35 +413,57 @@ def _best_threshold(score: np.ndarray, y: np.ndarray) -> float:
     return float(best[len(best) // 2])
 
 
-def _fit(win, own, y, part, top, flat, rounds, epochs, seed) -> Network:
+def _epoch(net: Network, win, flat, pos: np.ndarray, neg: np.ndarray, rate: float, rng) -> None:
+    """One pass over positive and negative windows, the positives weighing about half as much as the negatives together."""
+    rows = np.concatenate([pos, neg])
+    lab = np.concatenate([np.ones(len(pos)), np.zeros(len(neg))]).astype(np.float32)
+    wgt = np.where(lab == 1, max(1.0, 0.35 * len(neg) / max(1, len(pos))), 1.0).astype(np.float32)
+    order = rng.permutation(len(rows))
+    for i in range(0, len(order), 256):
+        o = order[i : i + 256]
+        net.step(win[rows[o]], lab[o], wgt[o], flat, rate)
+
+
+def _score(net: Network, flat, win: np.ndarray) -> np.ndarray:
+    fast = Scorer(net.p)
+    fast.learned(flat)
+    return fast.windows(win)
+
+
+def _best_of(score: np.ndarray, own: np.ndarray, n: int) -> np.ndarray:
+    best = np.full(n, -np.inf)
+    np.maximum.at(best, own, score)
+    return best[own]
+
+
+def _fit(win, own, y, part, top, flat, epochs, seed) -> Network:
+    """The network for the documents of ``part``.
+
+    The windows that carry each marked document are chosen by networks fitted on the other half of the marked
+    documents, so none confirms what it has only learned by heart; the last network is fitted on these windows, with
+    the unmarked windows it errs on looked up anew every second epoch.
+    """
     rng = np.random.default_rng(seed)
-    net = Network(seed)
     inside = part[own]
-    pos_w = np.flatnonzero(inside & (y[own] == 1))
-    neg_w = np.flatnonzero(inside & (y[own] == 0))
-    score = 1.0 / (1.0 + np.exp(-(top - np.median(top)).clip(-30, 30)))
-    neg_score = np.zeros(len(own))
-    for k in range(rounds):
-        best = np.zeros(len(y))
-        np.maximum.at(best, own[pos_w], score[pos_w])
-        carry = score[pos_w] >= np.maximum(best[own[pos_w]] * 0.999, 0.0) - 1e-12
-        if k:
-            carry |= score[pos_w] > 0.5
-        chosen = pos_w[carry]
-        hard = neg_w[np.argsort(-neg_score[neg_w], kind="stable")[: 2 * len(chosen) + 200]] if k else neg_w[:0]
-        n_neg = min(len(neg_w), max(3000, 12 * len(chosen)))
-        for _ in range(epochs):
-            sample = np.concatenate([chosen, hard, rng.choice(neg_w, n_neg, replace=False)])
-            lab = np.concatenate([np.ones(len(chosen)), np.zeros(len(hard) + n_neg)]).astype(np.float32)
-            wgt = np.where(lab == 1, max(1.0, 0.35 * (len(lab) - len(chosen)) / max(1, len(chosen))), 1.0).astype(np.float32)
-            order = rng.permutation(len(sample))
-            for i in range(0, len(order), 256):
-                o = order[i : i + 256]
-                net.step(win[sample[o]], lab[o], wgt[o], flat, 0.004 if k < rounds - 1 else 0.0015)
-        if k == rounds - 1:
-            break
-        fast = Scorer(net.p)
-        fast.learned(flat)
-        score[pos_w] = fast.windows(win[pos_w])
-        neg_score[neg_w] = fast.windows(win[neg_w])
+    pos_w, neg_w = np.flatnonzero(inside & (y[own] == 1)), np.flatnonzero(inside & (y[own] == 0))
+    first = pos_w[top[pos_w] >= _best_of(top[pos_w], own[pos_w], len(y))]
+    fold = rng.integers(0, 2, len(y))
+    score = np.zeros(len(own))
+    n_neg = min(len(neg_w), max(3000, 12 * len(first)))
+    for k in (0, 1):
+        half, net = first[fold[own[first]] == k], Network(seed + 1 + k)
+        if not len(half):
+            half = first
+        for _ in range(3):
+            _epoch(net, win, flat, half, rng.choice(neg_w, n_neg, replace=False), 0.004, rng)
+        rest = pos_w[fold[own[pos_w]] != k]
+        if len(rest):
+            score[rest] = _score(net, flat, win[rest])
+    chosen = pos_w[(score[pos_w] > 0.5) | (score[pos_w] >= _best_of(score[pos_w], own[pos_w], len(y)))]
+    net, hard = Network(seed), neg_w[:0]
+    for k in range(epochs):
+        if k and k % 2 == 0:
+            s = _score(net, flat, win[neg_w])
+            hard = neg_w[np.argsort(-s, kind="stable")[: 2 * len(chosen) + 200]]
+        _epoch(net, win, flat, chosen, np.concatenate([hard, rng.choice(neg_w, n_neg, replace=False)]), 0.004 if k < epochs - 2 else 0.0015, rng)
     return net
