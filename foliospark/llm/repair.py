@@ -223,7 +223,9 @@ class Reader:
                 if m and sum(ch.isalpha() for ch in (m[2] or m[3])) >= 3:
                     found.add(i)
                 elif s[-1] not in ",;:" and fold(s).replace(" ", "") in self.footers:
-                    found.add(i)
+                    k = place[i]
+                    if not self._flows(lines[filled[k - 1]] if k else "", s, lines[filled[k + 1]] if k + 1 < len(filled) else ""):
+                        found.add(i)
         first = filled[0]
         for i in odd:
             if i in found or i in bare or _RULE.match(text[i]):
@@ -238,7 +240,7 @@ class Reader:
             opens = i == first and (not after[:1].islower() or is_page_number(after))
             if _is_title(s) and (opens or lines[i][0] == "\x0c" or beside(i, found) or k + 1 < len(filled) and _RULE.match(lines[filled[k + 1]].strip()) or not _DIGIT.search(s) and before and not _ENDED.search(before)) or _is_title(s) and s.isupper():
                 found.add(i)
-            elif (opens or lines[i][0] == "\x0c") and s[:1].isupper() and len(s.split()) >= 2 and s[-1] not in ".,;:!?" and len(s) < 0.75 * flow_width(lines) and len(filled) > 1 and not any(ch in s for ch in "<>@"):
+            elif (opens or lines[i][0] == "\x0c") and s[:1].isupper() and len(s.split()) >= 2 and s[-1] not in ".,;:!?" and len(s) < 0.75 * flow_width(lines) and len(filled) > 1 and not any(ch in s for ch in "<>@0123456789"):
                 found.add(i)
         titles = {_key(text[i]) for i in found if len(text[i]) > 8}
         for i in odd:
