@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: The 8-4-4-4-12 spelling, for texts that hold other hexadecimal digits around the id.
 CANONICAL = r"(?i)(?<![0-9a-f])[0-9a-f]{8}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{4}-?[0-9a-f]{12}(?![0-9a-f])"
+#: The usual spelling, which needs no change.
+USUAL = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
 
 
 def id_hex(c: Column | str) -> Column:
@@ -16,20 +18,19 @@ def id_hex(c: Column | str) -> Column:
     ``uuid:``), the one run in canonical spelling counts. Null, empty and digitless texts give null.
     """
     c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.rlike(USUAL), F.replace(c, F.lit("-"), F.lit(""))).otherwise(_any_hex(c))
+
+
+def _any_hex(c: Column) -> Column:
     digits = F.lower(F.regexp_replace(c, "[^0-9A-Fa-f]", ""))
     inner = F.lower(F.regexp_replace(F.regexp_extract(c, CANONICAL, 0), "-", ""))
     return F.when(F.length(digits) == 32, digits).when((F.length(digits) > 32) & (F.length(inner) == 32), inner)
 
 
-def dashed(h: Column) -> Column:
-    """32 digits written as 8-4-4-4-12."""
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
-
-
 def norm_id(c: Column | str) -> Column:
-    """An id in lower case as 8-4-4-4-12, or null."""
-    h = id_hex(c)
-    return F.when(h.isNotNull(), dashed(h))
+    """An id in lower case as 8-4-4-4-12, or null. Ids that are so already take the short way."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.rlike(USUAL), c).otherwise(F.regexp_replace(_any_hex(c), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
 
 
 def sql_hex(c: str) -> str:

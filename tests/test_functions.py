@@ -22,8 +22,8 @@ def one(spark, rows, schema, *cols):
 def test_ids_in_all_spellings(spark):
     h = "0123456789abcdef0123456789abcdef"
     dashed = str(uuid.UUID(h))
-    texts = [dashed, dashed.upper(), h, "{" + dashed + "}", f" {dashed}\t", f"urn:uuid:{dashed}", None, "", "xyz", h[:-1], h + "0"]
-    assert [x for (x,) in one(spark, [(t,) for t in texts], "t string", norm_id("t"))] == [dashed] * 6 + [None] * 5
+    texts = [dashed, dashed.upper(), h, "{" + dashed + "}", f" {dashed}\t", f"urn:uuid:{dashed}", dashed + "\n", None, "", "xyz", h[:-1], h + "0"]
+    assert [x for (x,) in one(spark, [(t,) for t in texts], "t string", norm_id("t"))] == [dashed] * 7 + [None] * 5
 
 
 def test_times_in_all_notations(spark):
