@@ -13,7 +13,7 @@ import unicodedata
 import numpy as np
 
 #: Shapes that recognisers take for one another, written out as strokes, longest first.
-_PAIRS = (("ct", "ci"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("�", "r"), ("ß", "b"), ("æ", "ae"), ("œ", "oe"))
+_PAIRS = (("ﬁ", "fi"), ("ﬂ", "fl"), ("�", "r"), ("ß", "b"), ("æ", "ae"), ("œ", "oe"))
 _STROKES = str.maketrans(
     {
         "ſ": "s", "5": "s", "0": "o", "9": "g", "q": "g", "6": "c", "e": "c", "8": "ii", "b": "ii", "h": "ii", "1": "i", "l": "i", "|": "i",
@@ -23,6 +23,8 @@ _STROKES = str.maketrans(
 _MARKS = re.compile("[̀-ͯ]")
 EDGE = ".,;:!?…()[]{}\"'«»“”„‘’*<>"
 LONGEST = 60
+#: Cost of an edit in logarithms of counts, for a token of one letter.
+EDIT = 24.0
 
 
 def fold(word: str) -> str:
@@ -33,7 +35,7 @@ def fold(word: str) -> str:
             w = w.replace(a, b)
     if not w.isascii():
         w = _MARKS.sub("", unicodedata.normalize("NFKD", w))
-    return w.translate(_STROKES)
+    return w.translate(_STROKES).replace("ct", "ci")  # after e has become c, so that e and c stay equal beside a t
 
 
 def shape(token: str) -> str:
@@ -109,10 +111,10 @@ class Trie:
 
 
 class Lexicon:
-    """Trusted words with counts, their folds, shapes of number tokens and pairs of neighbours."""
+    """Trusted words with counts, their folds, shapes of number tokens, pairs of neighbours and counts of other words."""
 
-    def __init__(self, words: dict[str, int], shapes: set[str], points: dict[str, int], pairs: dict[tuple[str, str], int]) -> None:
-        self.words, self.shapes, self.points, self.pairs = words, shapes, points, pairs
+    def __init__(self, words: dict[str, int], shapes: set[str], points: dict[str, int], pairs: dict[tuple[str, str], int], others: dict[str, int] | None = None) -> None:
+        self.words, self.shapes, self.points, self.pairs, self.others = words, shapes, points, pairs, others or {}
         self.folds: dict[str, list[str]] = {}
         for w in sorted(words, key=lambda w: (-words[w], w)):
             self.folds.setdefault(fold(w), []).append(w)
@@ -123,6 +125,23 @@ class Lexicon:
     def known(self, word: str) -> bool:
         return word in self.words
 
+    def outweighs(self, token: str, candidates: list[tuple[int, str]], before: str | None, after: str | None) -> bool:
+        """Whether a word one edit away explains an unknown word better than that it is a right one.
+
+        As in ``rank``, by count and neighbours; an edit costs the less the longer the token, for the fewer right
+        words lie that near to another by chance.
+        """
+        own = np.log(self.others.get(token, 1)) + EDIT / len(token)
+        for _, w in candidates:
+            s = np.log(self.words.get(w, 1))
+            if s <= own and before is not None:
+                s += 2.0 * np.log1p(self.pairs.get((before, w), 0))
+            if s <= own and after is not None:
+                s += 2.0 * np.log1p(self.pairs.get((w, after), 0))
+            if s > own:
+                return True
+        return False
+
     def rank(self, candidates: list[tuple[int, str]], before: str | None, after: str | None) -> str | None:
         """The best word among (distance, word): by count, distance and the neighbours it is seen with."""
         best, top = None, -1e9

@@ -26,7 +26,7 @@ _WIDE = re.compile(rf"^(?:({_NUM})\s{{3,}}(\S.{{0,79}})|(\S.{{0,79}}?)\s{{3,}}({
 #: Glyphs taken for digits inside numbers.
 _AS_DIGIT = str.maketrans({"O": "0", "o": "0", "l": "1", "I": "1", "|": "1", "i": "1", "j": "1", "S": "5", "s": "5", "ſ": "5", "B": "8", "g": "9", "q": "9", "Z": "2", "z": "2"})
 _AS_LETTER = str.maketrans({"0": "O", "1": "I", "5": "S", "8": "B", "9": "g", "2": "Z", "6": "G", "|": "I", "l": "I"})
-FINE, MISREAD, UNKNOWN = 0, 1, 2
+FINE, MISREAD, UNKNOWN, NEAR = 0, 1, 2, 3  # NEAR: unknown, and misread if its neighbours speak for a word one edit away
 
 
 def core(token: str) -> str:
@@ -102,11 +102,24 @@ class Reader:
         for t, c, found in zip(left, cores, near):
             words = [(d, w) for d, f in found for w in self.lex.folds[f]]
             exact = [(0, w) for d, w in words if d == 0]
-            # a word one edit away counts only where it is long and far more frequent than chance spellings
-            close = exact or [(d, w) for d, w in words if len(c) >= 7 and self.lex.words[w] >= 2e-5 * self.lex.total and abs(len(w) - len(c)) <= 2]
-            if close:
-                self.fix[t] = close
-            self.seen[t] = MISREAD if exact or close or self._run_together(t, c) else UNKNOWN
+            if words:
+                self.fix[t] = exact or words
+            if exact or words and self.lex.outweighs(c, words, None, None):
+                self.seen[t] = MISREAD
+            elif self._run_together(t, c):
+                self.seen[t] = MISREAD
+            else:
+                self.seen[t] = NEAR if words else UNKNOWN
+
+    def _settled(self, words: list[str], codes: list[int], before: str | None, after: str | None) -> None:
+        """NEAR becomes MISREAD or UNKNOWN by the neighbours in the line, or the words ``before`` and ``after`` it."""
+        for j, code in enumerate(codes):
+            if code == NEAR:
+                left = words[j - 1] if j else before
+                right = words[j + 1] if j + 1 < len(words) else after
+                left = core(left) if left and left[-1] not in EDGE else None
+                right = core(right) if right and words[j][-1] not in EDGE else None
+                codes[j] = MISREAD if self.lex.outweighs(core(words[j]), self.fix[words[j]], left, right) else UNKNOWN
 
     def _judge(self, t: str) -> int | None:
         c, lex = core(t), self.lex
@@ -175,7 +188,7 @@ class Reader:
             a, b = c[:i], c[i:]
             if (a in lex.common if len(a) < 3 else a in lex.words) and (b in lex.common if len(b) < 3 else self._word(b)) or len(a) > 2 and b in lex.words and len(b) > 2 and fold(a) in lex.folds:
                 if len(a) >= 4 or len(b) >= 4 or lex.pairs.get((a, b), 0) >= 3:
-                    self.fix.setdefault(t, [(1, f"{a} {b}")])
+                    self.fix[t] = [(1, f"{a} {b}")]
                     return True
         return False
 
@@ -278,6 +291,8 @@ class Reader:
         seen, skip_first = self.seen, False
         for k, (i, words) in enumerate(rows):
             codes = [seen.get(w, UNKNOWN) for w in words]
+            if NEAR in codes:
+                self._settled(words, codes, rows[k - 1][1][-1] if k and not skip_first else None, rows[k + 1][1][0] if k + 1 < len(rows) else None)
             bad = carried if skip_first else False
             if skip_first:
                 codes[0] = FINE
@@ -345,9 +360,9 @@ class Reader:
 
     def _mend(self, token: str, before: str | None, after: str | None) -> str:
         options = self.fix.get(token)
-        if not options or self.seen.get(token) != MISREAD:
-            return token
         c = core(token)
+        if not options or self.seen.get(token) != MISREAD and not (self.seen.get(token) == NEAR and self.lex.outweighs(c, options, before, after)):
+            return token
         best = self.lex.rank(options, before, after)
         if best is None:
             return token
@@ -398,7 +413,7 @@ class Reader:
             j = 0
             while j < len(words):
                 w = words[j]
-                if j + 1 < len(words) and (codes[j] == UNKNOWN or codes[j + 1] == UNKNOWN) and w[-1] not in EDGE and core(w + words[j + 1]) in self.lex.words and not _DIGIT.search(w):
+                if j + 1 < len(words) and (codes[j] in (UNKNOWN, NEAR) or codes[j + 1] in (UNKNOWN, NEAR)) and w[-1] not in EDGE and core(w + words[j + 1]) in self.lex.words and not _DIGIT.search(w):
                     merged.append(w + words[j + 1])
                     j += 2
                 else:
@@ -481,4 +496,5 @@ def build(rows, pairs=None) -> tuple[Lexicon, set[str]]:
     words = trusted_words(by["w"], share)
     shapes = {k for k, (n, d) in by["s"].items() if (d >= 2 and d >= 0.3 * share * n if share else n >= 20)}
     footers = {k for k, (n, near) in by["l"].items() if n >= 4 and near >= 0.4 * n}
-    return Lexicon(words, shapes, {k: n for k, (n, _) in by["p"].items()}, pairs or {}), footers
+    others = {k: total if d else n for k, (n, d) in by["w"].items() if k not in words}  # one that is born digital is no misreading
+    return Lexicon(words, shapes, {k: n for k, (n, _) in by["p"].items()}, pairs or {}, others), footers

@@ -103,12 +103,12 @@ def scan(records: DataFrame, fields: list[str], lexicon: Lexicon, footers: set[s
     misreadings: they give no findings and keep their words. Empty texts give an empty text and no finding.
     """
     sc = records.sparkSession.sparkContext
-    model = sc.broadcast((lexicon.words, lexicon.shapes, lexicon.points, lexicon.pairs, footers))
+    model = sc.broadcast((lexicon.words, lexicon.shapes, lexicon.points, lexicon.pairs, lexicon.others, footers))
     names = ["tab", "rec_id", "digital", *fields]
 
     def run(batches):
-        words, shapes, points, pairs, foot = model.value
-        reader = Reader(Lexicon(words, shapes, points, pairs), foot)
+        words, shapes, points, pairs, others, foot = model.value
+        reader = Reader(Lexicon(words, shapes, points, pairs, others), foot)
         for big in batches:
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)

@@ -1,6 +1,7 @@
 """The operators against brute force, round trips and awkward rows."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -346,6 +347,23 @@ def test_findings_and_mended_text(spark):
     assert mended["e", "merged_text"] == "" and ("z", "merged_text") not in mended and mended["h", "merged_text"] == "The committee.\n\nOur warehouse."
 
 
+def test_short_and_rare_words_one_edit_away():
+    digital = Counter({"letter": 900, "acta": 900, "der": 900, "the": 1000, "meter": 30, "reading": 30, "cash": 1, "leash": 900})
+    scanned = Counter({"lctter": 2, "rnctcr": 1, "motor": 20, "mcker": 1, "cash": 3})
+    counts = Counter()
+    for kind, key, n, d in repair.statistics(digital, 1, Counter()) + repair.statistics(scanned, 0, Counter()):
+        counts[kind, key] += np.array([n, d])
+    lex, foot = repair.build([(kind, key, *map(int, v)) for (kind, key), v in counts.items()])
+    assert lexicon.fold("lctter") == lexicon.fold("letter") and lexicon.fold("act") == lexicon.fold("ad")
+    lex.pairs = {("the", "meter"): 30, ("meter", "reading"): 30}
+    r = repair.Reader(lex, foot)
+    texts = {"lctter": "the lctter", "acfa": "der acfa der", "plain": "der mcker", "context": "the mcker reading", "right": "the cash", "unlike": "the motor"}
+    r.learn({t for x in texts.values() for t in x.split()})
+    found = {k for k, x in texts.items() if r.judge(x) == [(0, "misread")]}
+    assert found == {"lctter", "acfa", "context"}
+    assert r.repaired("der acfa, the mcker reading") == "der acta, the meter reading"
+
+
 def test_an_empty_corpus(spark):
     df = _corpus(spark).limit(0)
     lex, foot = learn(df.select("merged_text", "digital"))
