@@ -434,6 +434,18 @@ def _key(s: str) -> str:
 
 #: Words and pairs rarer than this share of all tokens are no statistics; so at most 1 / LEAST of each are kept.
 LEAST = 2e-7
+#: A line is known as a footer when it occurs so often, with this share of it beside page numbers, whatever the corpus's size.
+FOOTER_LEAST, FOOTER_BESIDE = 4, 0.4
+
+
+def _may_be_footer(s: str) -> bool:
+    return 9 <= len(s) <= 80 and not _RULE.match(s) and not is_page_number(s) and not _WIDE.match(s)
+
+
+def footer_keys(text: str) -> set[str]:
+    """The keys of a text's lines that are looked up among the footers."""
+    lines = text.split("\n")
+    return {fold(s).replace(" ", "") for s in (lines[i].strip() for i in outside_flow(lines)) if _may_be_footer(s)} if len(lines) > 1 else set()
 
 
 def count_text(text: str, tokens: Counter, odd_lines: Counter | None) -> None:
@@ -452,14 +464,12 @@ def count_text(text: str, tokens: Counter, odd_lines: Counter | None) -> None:
         broken = here
     if odd_lines is None or len(lines) < 2:
         return
-    odd = outside_flow(lines)
+    odd = [i for i in outside_flow(lines) if _may_be_footer(lines[i].strip())]
     if odd:
         filled = [i for i, x in enumerate(lines) if x.strip()]
         place = {i: k for k, i in enumerate(filled)}
         for i in odd:
             s = lines[i].strip()
-            if len(s) < 9 or len(s) > 80 or _RULE.match(s) or is_page_number(s) or _WIDE.match(s):
-                continue
             k = place[i]
             near = k == len(filled) - 1 or lines[filled[k + 1]][0] == "\x0c" or any(is_page_number(lines[filled[j]].strip()) or _WIDE.match(lines[filled[j]].strip()) for j in (k - 1, k + 1) if 0 <= j < len(filled))
             odd_lines[("1" if near else "0") + fold(s).replace(" ", "")] += 1
@@ -495,6 +505,6 @@ def build(rows, pairs=None) -> tuple[Lexicon, set[str]]:
     share = dig / total if total else 0.0
     words = trusted_words(by["w"], share)
     shapes = {k for k, (n, d) in by["s"].items() if (d >= 2 and d >= 0.3 * share * n if share else n >= 20)}
-    footers = {k for k, (n, near) in by["l"].items() if n >= 4 and near >= 0.4 * n}
+    footers = {k for k, (n, near) in by["l"].items() if n >= FOOTER_LEAST and near >= FOOTER_BESIDE * n}
     others = {k: total if d else n for k, (n, d) in by["w"].items() if k not in words}  # one that is born digital is no misreading
     return Lexicon(words, shapes, {k: n for k, (n, _) in by["p"].items()}, pairs or {}, others), footers

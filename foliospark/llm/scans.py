@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .lexicon import EDGE, Lexicon
-from .repair import LEAST, Reader, build, core, count_text, statistics
+from .repair import FOOTER_BESIDE, FOOTER_LEAST, LEAST, Reader, build, core, count_text, footer_keys, statistics
 
 _FLUSH = 400_000
 
@@ -66,16 +66,18 @@ def _pair_rows(words: dict[str, int]):
     return run, list(words), width
 
 
-def learn(texts: DataFrame) -> tuple[Lexicon, set[str]]:
-    """The lexicon and footers from all ``texts`` (text, digital).
+def learn(texts: DataFrame, share: float = LEAST) -> tuple[Lexicon, DataFrame]:
+    """The lexicon and footers (key) from all ``texts`` (text, digital).
 
-    Kept are words and pairs with at least the share LEAST of all tokens, so at most 1 / LEAST of each whatever the
-    size of the corpus; these alone come to the driver and are broadcast.
+    Kept are words and pairs with at least ``share`` of all tokens, so at most 1 / share of each whatever the
+    size of the corpus; these alone come to the driver and are broadcast. Footers are no share of the tokens: all that
+    keep their own rule stay a table.
     """
     counts = stage(texts.mapInArrow(_count_rows, "kind string, key string, n bigint, d bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("d").alias("d")))
     total = counts.where("kind = 'w'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(2, int(LEAST * total))
-    lexicon, footers = build([tuple(r) for r in counts.where(F.col("n") >= least).collect()])
+    least = max(2, int(share * total))
+    lexicon, _ = build([tuple(r) for r in counts.where((F.col("n") >= least) & (F.col("kind") != "l")).collect()])
+    footers = counts.where((F.col("kind") == "l") & (F.col("n") >= FOOTER_LEAST) & (F.col("d") >= FOOTER_BESIDE * F.col("n"))).select("key")
     run, words, width = _pair_rows(lexicon.words)
     pairs = texts.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= max(3, least)).collect()
     lexicon.pairs = {(words[p // width], words[p % width]): n for p, n in pairs}
@@ -95,7 +97,25 @@ def _shifted(texts: dict[str, str | None]) -> int | None:
     return None
 
 
-def scan(records: DataFrame, fields: list[str], lexicon: Lexicon, footers: set[str], mend: bool) -> DataFrame:
+def _own_footers(records: DataFrame, fields: list[str], footers: DataFrame) -> DataFrame:
+    """``records`` with ``foot``: the known footers among each record's lines. Records of equal hash share theirs, which changes nothing."""
+    rec = F.xxhash64("tab", "rec_id").alias("rec")
+
+    def run(batches):
+        for b in batches:
+            recs, keys = [], []
+            for r, *texts in zip(*(c.to_pylist() for c in b.columns)):
+                own = set().union(*(footer_keys(t) for t in texts if t))
+                recs += [r] * len(own)
+                keys += own
+            yield pa.RecordBatch.from_arrays([pa.array(recs, pa.int64()), pa.array(keys, pa.string())], ["rec", "key"])
+
+    lines = records.where(~F.col("digital")).select(rec, *fields).mapInArrow(run, "rec bigint, key string")
+    known = lines.join(footers, "key").groupBy("rec").agg(F.collect_set("key").alias("foot"))
+    return records.select("tab", "rec_id", "digital", *fields, rec).join(known, "rec", "left").drop("rec")
+
+
+def scan(records: DataFrame, fields: list[str], lexicon: Lexicon, footers: DataFrame, mend: bool) -> DataFrame:
     """Findings or mended texts of each record and field.
 
     ``records``: tab, rec_id, the fields, digital. With ``mend`` a row (tab, rec_id, field, text) for every field that
@@ -103,12 +123,12 @@ def scan(records: DataFrame, fields: list[str], lexicon: Lexicon, footers: set[s
     misreadings: they give no findings and keep their words. Empty texts give an empty text and no finding.
     """
     sc = records.sparkSession.sparkContext
-    model = sc.broadcast((lexicon.words, lexicon.shapes, lexicon.points, lexicon.pairs, lexicon.others, footers))
-    names = ["tab", "rec_id", "digital", *fields]
+    model = sc.broadcast((lexicon.words, lexicon.shapes, lexicon.points, lexicon.pairs, lexicon.others))
+    names = ["tab", "rec_id", "digital", *fields, "foot"]
 
     def run(batches):
-        words, shapes, points, pairs, others, foot = model.value
-        reader = Reader(Lexicon(words, shapes, points, pairs, others), foot)
+        words, shapes, points, pairs, others = model.value
+        reader = Reader(Lexicon(words, shapes, points, pairs, others), set())
         for big in batches:
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)
@@ -124,6 +144,7 @@ def scan(records: DataFrame, fields: list[str], lexicon: Lexicon, footers: set[s
                 reader.learn(tokens)
                 out: list[tuple] = []
                 for i, dig in enumerate(cols["digital"]):
+                    reader.footers = set(cols["foot"][i] or ())
                     texts = {f: cols[f][i] for f in fields}
                     shift = _shifted(texts) if "merged_text" in texts else None
                     done: dict[str, list] = {}
@@ -155,4 +176,4 @@ def scan(records: DataFrame, fields: list[str], lexicon: Lexicon, footers: set[s
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 3 else pa.string()) for k, c in enumerate(cols_out)], ["tab", "rec_id", "field", "line_no", "kind"])
 
     schema = "tab string, rec_id string, field string, " + ("text string" if mend else "line_no int, kind string")
-    return records.select(*names).mapInArrow(run, schema)
+    return _own_footers(records, fields, footers).select(*names).mapInArrow(run, schema)

@@ -364,6 +364,16 @@ def test_short_and_rare_words_one_edit_away():
     assert r.repaired("der acfa, the mcker reading") == "der acta, the meter reading"
 
 
+def test_footers_stay_known_below_the_share_of_words(spark):
+    page = "A line of the text that goes on until it is full here\nand then the sentence ends in the middle of it.\n{}\n12\n"
+    rows = [(f"s{i}", page.format("notes on the osko collection")) for i in range(5)] + [(None, page.format("notes on the osko collection")), ("t", page.format("notes on the other house"))]
+    df = spark.createDataFrame(rows, "rec_id string, tesseract_text string").withColumn("tab", F.lit("documents")).withColumn("digital", F.lit(False))
+    for share in (0.0, 0.5):
+        lex, foot = learn(df.select(F.col("tesseract_text").alias("text"), "digital"), share)
+        got = {(r.rec_id, r.line_no) for r in scan(df, ["tesseract_text"], lex, foot, False).where("kind = 'furniture'").collect()}
+        assert {r for r, i in got if i == 2} == {f"s{i}" for i in range(5)} | {None}
+
+
 def test_an_empty_corpus(spark):
     df = _corpus(spark).limit(0)
     lex, foot = learn(df.select("merged_text", "digital"))
