@@ -1,5 +1,6 @@
 """The operators against brute force, round trips and awkward rows."""
 
+import os
 import random
 from collections import Counter
 
@@ -13,10 +14,13 @@ from foliospark.functions.png import encode
 from foliospark.llm import bpe, chunking, lexicon, packing, repair, strokes, survivors, toxicity
 from foliospark.llm.components import grouped_split, hash_to_min
 from foliospark.llm.leakage import cross_split_pairs, record_pairs
+from foliospark.llm.queries import LLM
 from foliospark.llm.scans import learn, scan
 from foliospark.llm.survivors import survivors as survive
 from foliospark.llm.tokens import count_tokens, encode_texts
 
+from ..conftest import DATA
+
 # chunking
 
 
@@ -70,6 +74,20 @@ def test_survivors_fields_ties_and_awkward_rows(spark):
     assert survive(df.limit(0)).count() == 0
 
 
+def test_every_field_survives_by_its_newest_value(spark):
+    rows = [("g", "a", "t", "2016-01-01", "u", "old.png", True), ("g", "b", "t", "2016-01-02", "u", "new.png", False), ("g", "c", "t", "2016-01-03", "u", " ", None), ("g", "d", "t", None, "u", "none.png", True), ("h", "e", "t", None, None, None, None)]
+    df = spark.createDataFrame(rows, "group_id string, record_id string, text string, at string, user_id string, url string, opted_in boolean").withColumn("at", F.col("at").cast("timestamp"))
+    got = {r.group_id: (r.user_from, r.url, r.opted_in) for r in survive(df, fields=("url", "opted_in")).collect()}
+    assert got == {"g": ("c", "new.png", False), "h": ("", None, None)}
+
+
+def test_the_surviving_record_has_all_columns_of_corrections(spark):
+    if not os.path.isdir(DATA):
+        pytest.skip("no test data here")
+    missing = set(spark.read.parquet(f"{DATA}/corrections.parquet").columns) - set(LLM.queries["p2_survivors"](spark, DATA).columns)
+    assert missing == {"correction_id", "corrected_text", "corrected_at"}  # text_from, text and newest_at
+
+
 def test_a_hot_group_keeps_its_newest(spark):
     df = spark.range(3000).select(F.lit("hot").alias("group_id"), F.format_string("%05d", "id").alias("record_id"), F.format_string("text %d", F.col("id") % 7).alias("text"), F.timestamp_seconds(F.col("id") % 1000).alias("at"), F.lit("u").alias("user_id"))
     assert [(r.n_records, r.text_from, r.user_from) for r in survive(df).collect()] == [(3000, "00999", "00999")]
