@@ -30,13 +30,23 @@ def image_stats(spark, sf_dir):
 
 @CORE.add("augmentation_report")
 def augmentation_report(spark, sf_dir):
-    """Q-BLANK Q-BLANKGATE Q-DUP A05 A06: blank and duplicate shares and mean statistics of each split, and whether they pass."""
-    i = _images(spark, sf_dir).select("image_id", "image_png", F.lower(F.trim("split")).alias("split"))
+    """Q-BLANK Q-BLANKGATE Q-DUP Q-DRIFT J06 A05 A06: blank and duplicate shares and mean statistics of each split, and whether they pass.
+
+    An augmented split also has its drift from the one it was made of, null where there is none; val counts as validation.
+    """
+    return split_report(_images(spark, sf_dir))
+
+
+def split_report(images):
+    i = images.select("image_id", "image_png", F.regexp_replace(F.lower(F.trim("split")), "^val(?=_|$)", "validation").alias("split"))
     keyed = i.select(F.concat_ws("|", "split", "image_id").alias("k"), "image_png")
     s = op.picture_stats(keyed, "k", "image_png").where("decodes").withColumn("split", F.split("image_id", r"\|")[0])
     per = s.groupBy("split", "average_hash").agg(F.count("*").alias("k"), F.sum(F.col("is_blank").cast("bigint")).alias("b"), F.sum("mean").alias("m"), F.sum("std").alias("d"))
     r = per.groupBy("split").agg(F.sum("k").alias("n"), (F.sum("b") / F.sum("k")).alias("blank_ratio"), (F.sum(F.col("k") - 1) / F.sum("k")).alias("dup_ratio"), F.round(F.sum("m") / F.sum("k"), 2).alias("mean"), F.round(F.sum("d") / F.sum("k"), 2).alias("std"))
-    return r.withColumn("passed", (F.col("blank_ratio") <= 0.95) & (F.col("dup_ratio") <= 0.05))
+    base = r.select(F.concat("split", F.lit("_augmented")).alias("split"), F.col("mean").alias("base_mean"), F.col("std").alias("base_std"))
+    r = r.join(base, "split", "left").withColumn("mean_drift", F.round(F.abs(F.col("mean") - F.col("base_mean")), 2)).withColumn("std_drift", F.round(F.abs(F.col("std") - F.col("base_std")), 2))
+    drifts = F.abs(F.col("mean") - F.col("base_mean")) / 255 > 0.15
+    return r.withColumn("passed", (F.col("blank_ratio") <= 0.95) & (F.col("dup_ratio") <= 0.05) & ~F.coalesce(drifts, F.lit(False))).drop("base_mean", "base_std")
 
 
 @CORE.add("region_features")

@@ -2,7 +2,11 @@
 
 import random
 
+import numpy as np
+
+from foliospark.functions.png import encode
 from foliospark.plans.checks import discrepancy
+from foliospark.plans.images import split_report
 
 
 def _vectors(spark, sides, shift):
@@ -18,3 +22,15 @@ def test_drift_of_sides_in_id_ranges_of_their_own_and_of_unequal_size(spark):
     assert discrepancy(_vectors(spark, apart, 0.0)).first().drift is False
     got = discrepancy(_vectors(spark, [True] * 20, 0.0)).first()
     assert (got.n_ref, got.n_new, got.n_blocks, got.drift) == (20, 0, 0, None)
+
+
+def test_report_compares_an_augmented_split_with_its_base(spark):
+    def picture(k, light):
+        return bytearray(encode(np.random.default_rng(k).integers(light, light + 100, (16, 32), np.uint8)))
+
+    rows = [(f"{s}{k}", s, picture(hash_ * 100 + k, light)) for hash_, (s, light) in enumerate((("train", 20), ("Train_augmented ", 120), ("val", 50), ("validation_augmented", 55), ("test", 9))) for k in range(5)]
+    got = {r.split: r for r in split_report(spark.createDataFrame(rows, "image_id string, split string, image_png binary")).collect()}
+    assert set(got) == {"train", "train_augmented", "validation", "validation_augmented", "test"}
+    assert 95 < got["train_augmented"].mean_drift < 105 and got["train_augmented"].std_drift < 3 and not got["train_augmented"].passed
+    assert got["validation_augmented"].mean_drift < 10 and got["validation_augmented"].passed
+    assert got["train"].mean_drift is None and got["train"].passed
