@@ -45,6 +45,7 @@ def p4_sessions(spark, sf_dir):
 def p4_queries(spark, sf_dir):
     """The query_texts of each session, a row for each search, so no session is gathered whole."""
     e = _events(spark, sf_dir).where("user_id is not null and us is not null")
-    once = e.groupBy("id").agg(F.min(F.struct("us", "user_id", "query_text")).alias("e")).select("id", "e.*")
+    once = e.where("id is not null").groupBy("id").agg(F.min(F.struct("us", "user_id", "query_text")).alias("e")).select("id", "e.*")
+    once = once.unionByName(e.where("id is null"))  # each of these is a search of its own, as in distinct_events
     m = marked_events(distinct_events(e, "id", "user_id", "us")).select("user_id", "us", F.col("start_rank").alias("session_no"))
     return once.join(m, ["user_id", "us"]).select("user_id", "session_no", "us", "id", "query_text")

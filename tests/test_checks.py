@@ -7,6 +7,7 @@ import numpy as np
 from foliospark.functions.png import encode
 from foliospark.plans.checks import discrepancy
 from foliospark.plans.images import split_report
+from foliospark.plans.sessions import p4_queries
 
 
 def _vectors(spark, sides, shift):
@@ -34,3 +35,12 @@ def test_report_compares_an_augmented_split_with_its_base(spark):
     assert 95 < got["train_augmented"].mean_drift < 105 and got["train_augmented"].std_drift < 3 and not got["train_augmented"].passed
     assert got["validation_augmented"].mean_drift < 10 and got["validation_augmented"].passed
     assert got["train"].mean_drift is None and got["train"].passed
+
+
+def test_searches_without_an_id_keep_their_texts(spark, tmp_path):
+    u, a = "0" * 31 + "1", "0" * 31 + "a"
+    rows = [(None, "one", 10, u), (None, "two", 20, u), ("no id", "three", 30, u), (a, "four", 40, u), (a, "four", 40, u)]
+    q = spark.createDataFrame(rows, "id string, query_text string, s bigint, user_id string").selectExpr("id", "query_text", "cast(timestamp_seconds(s) as timestamp_ntz) as queried_at", "user_id")
+    q.write.parquet(f"{tmp_path}/query_sessions.parquet")
+    got = p4_queries(spark, str(tmp_path)).collect()
+    assert sorted((x.query_text, x.session_no) for x in got) == [("four", 1), ("one", 1), ("three", 1), ("two", 1)]
