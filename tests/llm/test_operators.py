@@ -47,6 +47,27 @@ def test_pieces_of_short_texts_and_a_word_of_exactly_the_limit():
         chunking.pieces("x" * 30, 10, 10)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 2**32 - 1), st.sampled_from([(60, 10), (50, 25), (30, 0)]))
+def test_only_words_over_the_limit_are_cut_whatever_blanks_there_are(seed, sizes):
+    limit, overlap = sizes
+    r, t = random.Random(seed), ""
+    while len(t) < 8 * limit:
+        t += "x" * r.choice([1, 5, limit // 2, limit - 1, limit, r.randint(1, 2 * limit) if r.random() < 0.1 else 2]) + r.choice([" ", "\n\n", "\x85", " " * r.randint(1, 3 * limit) if r.random() < 0.1 else ". "])
+    p = chunking.pieces(t, limit, overlap)
+    assert all(e - s <= limit and s <= f < e for s, f, e, _ in p) and all(b[1] == a[2] for a, b in zip(p, p[1:]))
+    assert any(h for *_, h in p) == (max(map(len, t.split())) > limit)
+
+
+def test_blanks_are_cut_and_pieces_are_balanced():
+    assert not any(h for *_, h in chunking.pieces("a" + " " * 3000 + "b"))
+    t = "Some words make a sentence. " * 300
+    p = chunking.pieces(t)
+    assert len(p) == -(-(len(t) - 200) // 1800)
+    lengths = [e - s for s, _, e, _ in p]
+    assert min(lengths) > 0.8 * max(lengths) and all(150 <= f - s <= 250 for s, f, _, _ in p[1:])
+
+
 def test_split_texts_leaves_short_and_null_texts_out(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "short", "x"), (4, "word " * 900, "x"), (4, "word " * 900, "x")], "doc_id bigint, merged_text string, piece string")
     got = chunking.split_texts(df, "doc_id", "merged_text").collect()
@@ -63,6 +84,15 @@ def test_consensus_votes_by_column():
     assert survivors.choose(["a x c", "a b c", "a b c"], half_life=1.0)[0] == 0  # the newest outweighs all older ones
 
 
+def test_the_vote_overrules_the_newest(spark):
+    rows = [("g", f"r{k}", t, f"2016-01-0{k + 1}", "u", url) for k, (t, url) in enumerate([("the old house", "x"), ("the old house", "x"), ("tke old house", None)])]
+    rows += [("h", "a", "one two", "2016-01-01", "u", "x"), ("h", "b", "one too", "2016-01-02", None, None)]
+    df = spark.createDataFrame(rows, "group_id string, record_id string, text string, at string, user_id string, url string").withColumn("at", F.col("at").cast("timestamp"))
+    assert {r.group_id: r.text_from for r in survive(df, 3.0, ("url",)).collect()} == {"g": "r1", "h": "a"}  # agreement; completeness
+    assert {r.group_id: r.text_from for r in survive(df).collect()} == {"g": "r2", "h": "b"}
+    assert survivors.depth_of(1.0) >= 53 and survivors.depth_of(3.0) >= 159
+
+
 def test_survivors_fields_ties_and_awkward_rows(spark):
     rows = [
         ("g", "b", "new text", "2016-01-02", ""), ("g", "a", "tie wins", "2016-01-02", None), ("g", "c", "  .. ", "2016-01-03", "u1"), ("g", "d", "old", None, "u2"), ("g", "a", "tie wins", "2016-01-02", None),
