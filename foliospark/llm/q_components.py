@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import id_hex, norm_id, sql_id
 from ..session import read_table
-from .components import grouped_split, hash_to_min
+from .components import grouped_split, hash_to_min, tied_pairs
 from .queries import LLM
 
 WEIGHTS = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -27,13 +27,12 @@ def _ties(spark, sf_dir):
 def p7_found(spark, sf_dir):
     """All pairs of different documents that must share a split."""
     labels = hash_to_min(_ties(spark, sf_dir), "d", "r").where("node like 'd%'").select("component", norm_id(F.substring("node", 2, 32)).alias("doc"))
-    a, b = labels.select("component", F.col("doc").alias("document_a")), labels.select("component", F.col("doc").alias("document_b"))
-    return a.join(b, "component").where("document_a < document_b").select("document_a", "document_b")
+    return tied_pairs(labels, "document_a", "document_b")
 
 
 @LLM.add("p7_splits")
 def p7_splits(spark, sf_dir):
-    """The split of each record; records without any id stand alone."""
+    """The split of each record; records without any id stand alone. No earlier assignment is stored here."""
     ties = _ties(spark, sf_dir)
     labels = hash_to_min(ties, "d", "r")
     node = F.coalesce("d", "r", F.concat(F.lit("c"), F.coalesce("correction_id", F.lit(""))))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.png import encode
 from foliospark.llm import bpe, chunking, lexicon, packing, repair, strokes, survivors, toxicity
-from foliospark.llm.components import grouped_split, hash_to_min
+from foliospark.llm.components import grouped_split, hash_to_min, tied_pairs
 from foliospark.llm.leakage import cross_split_pairs, record_pairs
 from foliospark.llm.queries import LLM
 from foliospark.llm.scans import learn, scan
@@ -164,6 +164,24 @@ def test_split_shares_with_one_component_of_a_third(spark):
     assert abs(got["train"] / 30_000 - 0.8) < 0.02 and abs(got["test"] / 30_000 - 0.1) < 0.02
 
 
+def test_more_records_move_no_stored_component(spark):
+    w = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    df = spark.range(6000).select(F.when(F.col("id") < 1500, F.lit("hot")).otherwise((F.col("id") / 3).cast("int").cast("string")).alias("component"))
+    old = grouped_split(df, "component", w).cache()
+    more = df.union(spark.range(600).select(F.when(F.col("id") < 100, F.lit("hot")).otherwise((F.col("id") + 5700).cast("string")).alias("component")))
+    new = grouped_split(more, "component", w, old.select("component", "split"))
+    moved = old.join(new.select("component", F.col("split").alias("now")), "component").where("split <> now")
+    assert moved.count() == 0
+    got = {r.split: r.n for r in new.groupBy("split").agg(F.sum("n_records").alias("n")).collect()}
+    assert sum(got.values()) == 6600 and all(abs(got[k] / 6600 - v) < 0.03 for k, v in w.items())
+    assert grouped_split(df.limit(0), "component", w).count() == 0
+
+
+def test_pairs_of_a_large_component_come_from_parts(spark):
+    df = spark.range(70).select(F.when(F.col("id") < 50, F.lit("big")).otherwise(F.lit("small")).alias("component"), F.format_string("%03d", "id").alias("doc"))
+    assert tied_pairs(df, "x", "y", 8).distinct().count() == tied_pairs(df, "x", "y", 8).count() == 50 * 49 // 2 + 20 * 19 // 2
+
+
 # tokens
 
 
