@@ -2,9 +2,13 @@
 
 Statistics over the whole corpus come first: words (with how often they occur in texts born digital), shapes of
 number tokens, points after words, pairs of neighbours, and short lines beside page numbers. A token that is no
-trusted word is looked up with all words of the same strokes or one edit away (``lexicon``); runs and parts of tokens
-are tried where spaces were lost or added. Lines that stand outside the flow of the text are furniture when they
-are page numbers, rules, titles, or lines that stand beside page numbers throughout the corpus.
+trusted word is looked up with all words of the same strokes or one edit away (``lexicon``) and is misread when one of
+these outranks it, by itself or beside its neighbours; runs and parts of tokens are tried where spaces were lost or
+added. Lines that stand outside the flow of the text are furniture when they are page numbers, rules, titles, or lines
+that stand beside page numbers throughout the corpus.
+
+Nothing here holds the corpus's words. ``TypeJudge`` judges a token by the answers to its own questions, ``Reader`` a
+text by the verdicts on its tokens and the answers to what it asks; ``scans`` has the questions answered by joins.
 """
 
 from __future__ import annotations
@@ -12,7 +16,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from .lexicon import EDGE, LONGEST, Lexicon, fold, shape, trusted_words
+import numpy as np
+import xxhash
+
+from .lexicon import EDGE, LONGEST, Lexicon, fold, own_weight, rank, shape, trusted_words
 
 HYPHEN = re.compile("[-¬‐­=]$")
 _ENDED = re.compile(r"[.!?:…][\"'”»)]*$")
@@ -26,13 +33,36 @@ _WIDE = re.compile(rf"^(?:({_NUM})\s{{3,}}(\S.{{0,79}})|(\S.{{0,79}}?)\s{{3,}}({
 #: Glyphs taken for digits inside numbers.
 _AS_DIGIT = str.maketrans({"O": "0", "o": "0", "l": "1", "I": "1", "|": "1", "i": "1", "j": "1", "S": "5", "s": "5", "ſ": "5", "B": "8", "g": "9", "q": "9", "Z": "2", "z": "2"})
 _AS_LETTER = str.maketrans({"0": "O", "1": "I", "5": "S", "8": "B", "9": "g", "2": "Z", "6": "G", "|": "I", "l": "I"})
-FINE, MISREAD, UNKNOWN, NEAR = 0, 1, 2, 3  # NEAR: unknown, and misread if its neighbours speak for a word one edit away
+FINE, MISREAD, UNKNOWN, NEAR = 0, 1, 2, 3  # NEAR: unknown, and misread if its neighbours speak for one of its candidates
+#: ``(code, own weight, [(distance, word, count)])`` of a token.
+Verdict = tuple[int, float, list[tuple[int, str, int]]]
+_FINE: Verdict = (FINE, 0.0, [])
+_ALWAYS = float("-inf")
 
 
 def core(token: str) -> str:
     return token.strip(EDGE).lower()
 
 
+_MIX_BEFORE, _MIX_AFTER, _MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
+
+
+def word_hash(word: str) -> int:
+    """An even number, so that a bit is free."""
+    return xxhash.xxh64_intdigest(word) & ~1
+
+
+def pair_key(before: str, after: str) -> int:
+    b = word_hash(after)
+    k = (word_hash(before) * _MIX_BEFORE + (b ^ (b >> 29)) * _MIX_AFTER) & _MASK
+    return k - (1 << 64) if k >> 63 else k
+
+
+def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """``pair_key`` of arrays of word hashes."""
+    return (before * np.uint64(_MIX_BEFORE) + (after ^ (after >> np.uint64(29))) * np.uint64(_MIX_AFTER)).view(np.int64)
+
+
 def flow_width(lines: list[str]) -> int:
     """The width the text was wrapped at."""
     full = sorted(len(x.rstrip()) for x in lines if x.strip())
@@ -72,135 +102,207 @@ def _is_title(s: str) -> bool:
     return bool(long) and len(s) < 60 and all(w[0].isupper() or w[0].isdigit() or not w[0].isalpha() for w in long) and words[0][0].isupper() | words[0][0].isdigit() and sum(c.isalpha() for c in s) >= 0.6 * len(s.replace(" ", ""))
 
 
-class Reader:
-    """Judges tokens and lines with the corpus's statistics, remembering tokens."""
-
-    def __init__(self, lexicon: Lexicon, footers: set[str]) -> None:
-        self.lex, self.footers = lexicon, footers
-        self.seen: dict[str, int] = {}
-        self.fix: dict[str, list[tuple[int, str]]] = {}
-
-    # tokens
-
-    def learn(self, tokens: set[str]) -> None:
-        """Judge new tokens of a batch; near words of those left over are searched for all at once."""
-        if len(self.seen) > 400_000:
-            self.seen.clear()
-            self.fix.clear()
-        left = []
-        for t in tokens:
-            if t not in self.seen:
-                v = self._judge(t)
-                if v is None:
-                    left.append(t)
-                else:
-                    self.seen[t] = v
-        if not left:
-            return
-        cores = [core(t) for t in left]
-        near = self.lex.trie.within_one([fold(c) for c in cores]) if self.lex.trie else [[] for _ in left]
-        for t, c, found in zip(left, cores, near):
-            words = [(d, w) for d, f in found for w in self.lex.folds[f]]
-            exact = [(0, w) for d, w in words if d == 0]
-            if words:
-                self.fix[t] = exact or words
-            if exact or words and self.lex.outweighs(c, words, None, None):
-                self.seen[t] = MISREAD
-            elif self._run_together(t, c):
-                self.seen[t] = MISREAD
-            else:
-                self.seen[t] = NEAR if words else UNKNOWN
-
-    def _settled(self, words: list[str], codes: list[int], before: str | None, after: str | None) -> None:
-        """NEAR becomes MISREAD or UNKNOWN by the neighbours in the line, or the words ``before`` and ``after`` it."""
-        for j, code in enumerate(codes):
-            if code == NEAR:
-                left = words[j - 1] if j else before
-                right = words[j + 1] if j + 1 < len(words) else after
-                left = core(left) if left and left[-1] not in EDGE else None
-                right = core(right) if right and words[j][-1] not in EDGE else None
-                codes[j] = MISREAD if self.lex.outweighs(core(words[j]), self.fix[words[j]], left, right) else UNKNOWN
-
-    def _judge(self, t: str) -> int | None:
+class TypeJudge:
+    """Judges tokens by themselves, with the words of a lexicon."""
+
+    def __init__(self, lexicon: Lexicon, pairs: dict[int, int]) -> None:
+        self.lex, self.pairs = lexicon, pairs
+
+    def verdict(self, t: str) -> Verdict:
         c, lex = core(t), self.lex
         if not c:
-            return MISREAD if t in ("|", "�") else FINE
+            return (MISREAD, _ALWAYS, []) if t in ("|", "�") else _FINE
         if c in lex.words:
-            return MISREAD if self._wrong_point(t, c) else FINE
-        if not c.isalpha() and _DIGIT.search(c):
-            return self._judge_number(t, c)
-        if c.isalpha() or "|" in c or "�" in c:
-            return None if len(c) <= LONGEST else UNKNOWN
-        parts = [p for p in re.split(r"[-'’/.,;:!?()]+", c) if p]
-        if not parts or not any(ch.isalpha() for ch in c):
-            return FINE
-        if all(p in lex.words or len(p) == 1 for p in parts):
-            inner = re.search(r"\w[.,;:!?]+\w", c)
-            return MISREAD if inner and all(len(p) > 2 for p in parts) else FINE
-        return None if len(c) <= LONGEST else UNKNOWN
+            return (MISREAD, _ALWAYS, []) if self._wrong_point(t, c) else _FINE
+        if is_number(c):
+            return self._number(t, c)
+        if not (c.isalpha() or "|" in c or "�" in c):
+            parts = _parts(c)
+            if not parts or not any(ch.isalpha() for ch in c):
+                return _FINE
+            if all(p in lex.words or len(p) == 1 for p in parts):
+                inner = re.search(r"\w[.,;:!?]+\w", c)
+                return (MISREAD, _ALWAYS, []) if inner and all(len(p) > 2 for p in parts) else _FINE
+        if len(c) > LONGEST:
+            return (UNKNOWN, 0.0, [])
+        f = fold(c)
+        options = [(0, w, n) for n, w in lex.folds.get(f, ())] or [(1, w, n) for n, w in lex.one_edit(f)]
+        n, digital = lex.others.get(c, (1, 0))
+        own = own_weight(bool(options) and options[0][0] == 0, n, digital, lex.total)
+        if options and rank(len(c), own, options):
+            return (MISREAD, own, options)
+        split = self._run_together(c)
+        if split:
+            return (MISREAD, _ALWAYS, [(1, split, 1)])
+        return (NEAR, own, options) if options else (UNKNOWN, 0.0, [])
 
     def _wrong_point(self, t: str, c: str) -> bool:
-        """A point that hardly ever follows this word where another mostly does."""
-        last = t[-1]
-        if last not in ".,;:" or not t[:-1].lower().endswith(c):
+        """A comma that hardly ever follows this word where another point mostly does."""
+        if t[-1] != "," or not t[:-1].lower().endswith(c):
             return False
-        n = self.lex.points.get(c + last, 0)
-        other = max((self.lex.points.get(c + p, 0) for p in ".,;:" if p != last), default=0)
-        return last == "," and other >= 20 and other >= 25 * max(1, n)
+        points = self.lex.points
+        return wrong_comma(points.get(c + ",", 0), max((points.get(c + p, 0) for p in ".;:"), default=0))
 
-    def _judge_number(self, t: str, c: str) -> int:
+    def _number(self, t: str, c: str) -> Verdict:
         lex = self.lex
         letters = sum(ch.isalpha() for ch in c)
         raw = t.strip(EDGE)
         if len(raw) > 24:
-            return UNKNOWN
+            return (UNKNOWN, 0.0, [])
         if shape(raw) in lex.shapes:
-            return FINE
+            return _FINE
         if letters:
             f = fold(c)
             if f in lex.folds and (letters >= 2 or len(c) <= 3):
-                self.fix[t] = [(0, w) for w in lex.folds[f]]
-                return MISREAD
-            m = re.fullmatch(r"([\d.,-]+)([^\W\d]{3,})", c) or re.fullmatch(r"([^\W\d]{3,})([\d.,-]+)", c)
-            if m and (m[1] in lex.words or m[2] in lex.words):
-                return MISREAD
-            if letters > len(c) / 2 and self._run_together(t, c):
-                return MISREAD
-        if "," in raw and shape(raw.replace(",", ".")) in lex.shapes:
-            return MISREAD
-        for table in (_AS_DIGIT, _AS_LETTER):
-            for i, ch in enumerate(raw):
-                if ord(ch) in table and shape(raw[:i] + table[ord(ch)] + raw[i + 1 :]) in lex.shapes:
-                    return MISREAD
-            if shape(raw.translate(table)) in lex.shapes and raw.translate(table) != raw:
-                return MISREAD
-        return UNKNOWN
+                return (MISREAD, _ALWAYS, [(0, w, n) for n, w in lex.folds[f]])
+            m = _stuck(c)
+            if m and (m[0] in lex.words or m[1] in lex.words):
+                return (MISREAD, _ALWAYS, [])
+            split = self._run_together(c) if letters > len(c) / 2 else None
+            if split:
+                return (MISREAD, _ALWAYS, [(1, split, 1)])
+        return (MISREAD, _ALWAYS, []) if any(x in lex.shapes for x in _other_shapes(raw)) else (UNKNOWN, 0.0, [])
 
     def _word(self, p: str) -> bool:
         return p in self.lex.words or len(p) > 2 and fold(p) in self.lex.folds
 
-    def _run_together(self, t: str, c: str) -> bool:
+    def _run_together(self, c: str) -> str | None:
         """Two words without the space between them."""
         lex = self.lex
-        if not 4 <= len(c) <= LONGEST:
-            return False
-        for i in range(1, len(c)):
-            a, b = c[:i], c[i:]
+        for a, b in _splits(c):
             if (a in lex.common if len(a) < 3 else a in lex.words) and (b in lex.common if len(b) < 3 else self._word(b)) or len(a) > 2 and b in lex.words and len(b) > 2 and fold(a) in lex.folds:
-                if len(a) >= 4 or len(b) >= 4 or lex.pairs.get((a, b), 0) >= 3:
-                    self.fix[t] = [(1, f"{a} {b}")]
-                    return True
-        return False
-
-    def joined(self, a: str, b: str) -> tuple[bool, bool] | None:
-        """Whether two halves make a trusted word as they are, and else a misread one; None if neither."""
-        c = core(a + b)
-        if c in self.lex.words:
-            return True, False
-        if 3 < len(c) <= LONGEST and fold(c) in self.lex.folds:
-            return False, True
+                if len(a) >= 4 or len(b) >= 4 or self.pairs.get(pair_key(a, b), 0) >= 3:
+                    return f"{a} {b}"
         return None
 
+
+def is_number(c: str) -> bool:
+    return not c.isalpha() and bool(_DIGIT.search(c))
+
+
+def wrong_comma(n: int, other: int) -> bool:
+    return other >= 20 and other >= 25 * max(1, n)
+
+
+def _parts(c: str) -> list[str]:
+    return [p for p in re.split(r"[-'’/.,;:!?()]+", c) if p]
+
+
+def _stuck(c: str) -> tuple[str, str] | None:
+    """A number and a word without the space between them."""
+    m = re.fullmatch(r"([\d.,-]+)([^\W\d]{3,})", c) or re.fullmatch(r"([^\W\d]{3,})([\d.,-]+)", c)
+    return (m[1], m[2]) if m else None
+
+
+def _splits(c: str) -> list[tuple[str, str]]:
+    return [(c[:i], c[i:]) for i in range(1, len(c))] if 4 <= len(c) <= LONGEST else []
+
+
+def _other_shapes(raw: str) -> list[str]:
+    """The shapes a number token would have with one glyph, or all of a kind, read the other way."""
+    out = [shape(raw.replace(",", "."))] if "," in raw else []
+    for table in (_AS_DIGIT, _AS_LETTER):
+        out += [shape(raw[:i] + table[ord(ch)] + raw[i + 1 :]) for i, ch in enumerate(raw) if ord(ch) in table]
+        if raw.translate(table) != raw:
+            out.append(shape(raw.translate(table)))
+    return out
+
+
+def type_questions(t: str, common: set[str]) -> set[tuple[str, str | None, int | None]]:
+    """What ``TypeJudge.verdict`` needs to know of a token that is no trusted word: (kind, key, pair).
+
+    Kinds: w word, f words of a fold, n words one edit from a fold, o count of the token itself, s shape, b pair.
+    """
+    c = core(t)
+    out: set[tuple[str, str | None, int | None]] = set()
+    number = is_number(c)
+    splits = not number
+    if number:
+        letters, raw = sum(ch.isalpha() for ch in c), t.strip(EDGE)
+        out |= {("s", x, None) for x in _other_shapes(raw)}
+        if letters:
+            out.add(("f", fold(c), None))
+            out |= {("w", x, None) for x in _stuck(c) or ()}
+            splits = letters > len(c) / 2
+    else:
+        f = fold(c)
+        out |= {("f", f, None), ("n", f, None), ("o", c, None)}
+        if not c.isalpha():
+            out |= {("w", p, None) for p in _parts(c) if len(p) > 1}
+    for a, b in _splits(c) if splits else ():
+        if len(a) < 3 and a not in common or len(b) < 3 and b not in common:
+            continue
+        for x in (a, b):
+            if len(x) > 2:
+                out |= {("w", x, None), ("f", fold(x), None)}
+        if len(a) < 4 and len(b) < 4:
+            out.add(("b", None, pair_key(a, b)))
+    return out
+
+
+class _Verdicts(dict):
+    """Verdicts from a lexicon in memory, one token at a time."""
+
+    def __init__(self, judge: TypeJudge) -> None:
+        super().__init__()
+        self.judge = judge
+
+    def get(self, t, default=None):
+        if t not in self:
+            self[t] = self.judge.verdict(t)
+        return self[t]
+
+
+class Reader:
+    """Judges lines with the verdicts on their tokens and the answers to its questions.
+
+    ``words`` has the counts of trusted words, ``folds`` the most frequent one of a fold, ``pairs`` counts by pair key. With
+    ``asked`` set, every look-up is noted there as (kind, key, pair); a run with no answers asks for all that any run needs.
+    """
+
+    def __init__(self, verdicts: dict[str, Verdict], words: dict[str, int], folds: dict[str, str], pairs: dict[int, int], footers: set[str], asked: set | None = None) -> None:
+        self.verdicts, self.words, self.folds, self.pairs, self.footers, self.asked = verdicts, words, folds, pairs, footers, asked
+
+    @classmethod
+    def of(cls, lexicon: Lexicon, pairs: dict[tuple[str, str], int], footers: set[str]) -> Reader:
+        """A reader for a lexicon in memory."""
+        known = {pair_key(a, b): n for (a, b), n in pairs.items()}
+        return cls(_Verdicts(TypeJudge(lexicon, known)), lexicon.words, {f: ws[0][1] for f, ws in lexicon.folds.items()}, known, footers)
+
+    def _word(self, w: str) -> int:
+        if self.asked is not None:
+            self.asked.add(("w", w, None))
+        return self.words.get(w, 0)
+
+    def _fold(self, w: str) -> str | None:
+        f = fold(w)
+        if self.asked is not None:
+            self.asked.add(("f", f, None))
+        return self.folds.get(f)
+
+    def _pair(self, a: str | None, b: str | None) -> int:
+        if a is None or b is None:
+            return 0
+        k = pair_key(a, b)
+        if self.asked is not None:
+            self.asked.add(("b", None, k))
+        return self.pairs.get(k, 0)
+
+    def _code(self, t: str) -> int:
+        return self.verdicts.get(t, _FINE)[0]
+
+    def best(self, t: str, before: str | None, after: str | None) -> str | None:
+        """The candidate that outranks a token beside the words ``before`` and ``after`` it; None if none does."""
+        code, own, options = self.verdicts.get(t, _FINE)
+        if not options:
+            return None
+        left = core(before) if before and before[-1] not in EDGE else None
+        right = core(after) if after and t[-1] not in EDGE else None
+        contexts = None
+        if code == NEAR or len(options) > 1:
+            contexts = [(self._pair(left, w), self._pair(w, right)) for _, w, _ in options]
+        return rank(len(core(t)), own, options, contexts)
+
     # lines
 
     def furniture(self, lines: list[str], out: list[int] | None = None) -> set[int]:
@@ -277,22 +379,27 @@ class Reader:
         """Whether the words at the line's ends go on from or into the neighbouring lines, as the corpus knows them."""
         words = line.split()
         left, right = before.split(), after.split()
-        into = bool(left) and left[-1][-1] not in EDGE and self.lex.pairs.get((core(left[-1]), core(words[0])), 0) >= 3
-        onto = bool(right) and words[-1][-1] not in EDGE and self.lex.pairs.get((core(words[-1]), core(right[0])), 0) >= 3
+        into = bool(left) and left[-1][-1] not in EDGE and self._pair(core(left[-1]), core(words[0])) >= 3
+        onto = bool(right) and words[-1][-1] not in EDGE and self._pair(core(words[-1]), core(right[0])) >= 3
         return into or onto
 
     def judge(self, text: str) -> list[tuple[int, str]]:
-        """``(line_no, kind)`` of a text whose tokens have been learned."""
+        """``(line_no, kind)`` of a text."""
         lines = text.split("\n")
         furniture = self.furniture(lines) if len(lines) > 1 else set()
         out = [(i, "furniture") for i in sorted(furniture)]
         rows = [(i, lines[i].split()) for i in range(len(lines)) if i not in furniture]
         rows = [(i, w) for i, w in rows if w]
-        seen, skip_first = self.seen, False
+        skip_first = carried = False
         for k, (i, words) in enumerate(rows):
-            codes = [seen.get(w, UNKNOWN) for w in words]
+            codes = [self._code(w) for w in words]
             if NEAR in codes:
-                self._settled(words, codes, rows[k - 1][1][-1] if k and not skip_first else None, rows[k + 1][1][0] if k + 1 < len(rows) else None)
+                before = rows[k - 1][1][-1] if k and not skip_first else None
+                after = rows[k + 1][1][0] if k + 1 < len(rows) else None
+                for j, code in enumerate(codes):
+                    if code == NEAR:
+                        better = self.best(words[j], words[j - 1] if j else before, words[j + 1] if j + 1 < len(words) else after)
+                        codes[j] = MISREAD if better else UNKNOWN
             bad = carried if skip_first else False
             if skip_first:
                 codes[0] = FINE
@@ -319,53 +426,44 @@ class Reader:
         left = a[:-1]
         if not left[-1:].isalnum() and left[-1:] not in "|�" or not b[:1].isalnum() and b[:1] not in "|�ſ":
             return False, False, False
-        lex = self.lex
         whole, kept = core(left + b), core(f"{left}-{b}")
         if b[:1].isdigit() and not any(ch.isalpha() for ch in core(b)):
             return False, False, False
-        if whole in lex.words:
-            return not (kept in lex.words and lex.words[kept] > lex.words[whole] and a[-1] == "-"), False, False
-        if kept in lex.words:
-            return a[-1] != "-" and False, False, False
-        for form, own in ((whole, False), (kept, True)):
-            f = fold(form)
-            if f in lex.folds:
-                w = lex.folds[f][0]
+        n_whole, n_kept = self._word(whole), self._word(kept)
+        if n_whole:
+            return not (n_kept > n_whole and a[-1] == "-"), False, False
+        if n_kept:
+            return False, False, False
+        for w, own in ((self._fold(whole), False), (self._fold(kept), True)):
+            if w is not None:
                 mine = core(left).lstrip(EDGE)
-                here = not w.startswith(mine)
-                theirs = core(b)
-                return not own, here, not w.endswith(theirs)
+                return not own, not w.startswith(mine), not w.endswith(core(b))
         parts = [p for p in re.split(r"-", kept) if p]
-        if len(parts) > 1 and a[-1] == "-" and all(p in lex.words for p in parts) and len(parts[-1]) > 2 and whole not in lex.words:
+        known = [self._word(p) > 0 for p in parts]
+        if len(parts) > 1 and a[-1] == "-" and all(known) and len(parts[-1]) > 2:
             return False, False, False
         # an unknown whole: the halves' own words decide on misreadings
         return True, False, False
 
     def _added_space(self, words: list[str], codes: list[int]) -> bool:
-        lex = self.lex
         for j, c in enumerate(codes):
             if c != UNKNOWN:
                 continue
             for a, b in ((j - 1, j), (j, j + 1)):
-                if a < 0 or b >= len(words):
-                    continue
-                if words[a][-1] in EDGE:
+                if a < 0 or b >= len(words) or words[a][-1] in EDGE:
                     continue
                 w = core(words[a] + words[b])
-                if len(w) >= 3 and (w in lex.words or len(w) >= 5 and fold(w) in lex.folds) and _DIGIT.search(w) is None:
+                if 3 <= len(w) <= LONGEST and _DIGIT.search(w) is None and (self._word(w) or len(w) >= 5 and self._fold(w) is not None):
                     return True
         return False
 
     # repair
 
     def _mend(self, token: str, before: str | None, after: str | None) -> str:
-        options = self.fix.get(token)
-        c = core(token)
-        if not options or self.seen.get(token) != MISREAD and not (self.seen.get(token) == NEAR and self.lex.outweighs(c, options, before, after)):
-            return token
-        best = self.lex.rank(options, before, after)
+        best = self.best(token, before, after)
         if best is None:
             return token
+        c = core(token)
         at = token.lower().find(c)
         body = token[at : at + len(c)]
         if body.isupper() and len(body) > 1:
@@ -378,6 +476,14 @@ class Reader:
         """The text in paragraphs: furniture dropped, broken words joined, misread words mended by rank in context."""
         lines = text.split("\n")
         furniture = self.furniture(lines) if len(lines) > 1 else set()
+        if self.asked is None:
+            return "\n\n".join(self._mended(p) for p in self._paragraphs(lines, furniture) if p)
+        for always in (True, False):  # whichever way a broken word is joined
+            for p in self._paragraphs(lines, furniture, always):
+                self._mended(p)
+        return ""
+
+    def _paragraphs(self, lines: list[str], furniture: set[int], always: bool | None = None) -> list[list[str]]:
         paragraphs: list[list[str]] = [[]]
         broken = False
         after_furniture = False
@@ -398,30 +504,52 @@ class Reader:
             if broken and paragraphs[-1]:
                 left = paragraphs[-1].pop()
                 kind, _, _ = self._break(left, words[0])
-                words[0] = (left[:-1] if kind else left) + words[0]
+                words[0] = (left[:-1] if (kind if always is None else always) else left) + words[0]
             broken = bool(HYPHEN.search(words[-1])) and len(words[-1]) > 1
             paragraphs[-1] += words
-        out = []
-        for words in paragraphs:
-            if not words:
+        return paragraphs
+
+    def _mended(self, words: list[str]) -> str:
+        """A paragraph's words mended, each beside its neighbours as they stand."""
+        codes = [self._code(w) for w in words]
+        out, j = [], 0
+        while j < len(words):
+            w = words[j]
+            if j + 1 < len(words) and (codes[j] in (UNKNOWN, NEAR) or codes[j + 1] in (UNKNOWN, NEAR)) and w[-1] not in EDGE and not _DIGIT.search(w) and self._word(core(w + words[j + 1])):
+                out.append(w + words[j + 1])
+                j += 2
                 continue
-            fresh = {w for w in words if w not in self.seen}
-            if fresh:
-                self.learn(fresh)
-            codes = [self.seen.get(w, UNKNOWN) for w in words]
-            merged: list[str] = []
-            j = 0
-            while j < len(words):
-                w = words[j]
-                if j + 1 < len(words) and (codes[j] in (UNKNOWN, NEAR) or codes[j + 1] in (UNKNOWN, NEAR)) and w[-1] not in EDGE and core(w + words[j + 1]) in self.lex.words and not _DIGIT.search(w):
-                    merged.append(w + words[j + 1])
-                    j += 2
-                else:
-                    merged.append(w)
-                    j += 1
-            bare = [core(w) for w in merged]
-            out.append(" ".join(self._mend(w, bare[j - 1] if j else None, bare[j + 1] if j + 1 < len(bare) else None) for j, w in enumerate(merged)))
-        return "\n\n".join(out)
+            out.append(self._mend(w, words[j - 1] if j else None, words[j + 1] if j + 1 < len(words) else None))
+            j += 1
+        return " ".join(out)
+
+
+def text_tokens(text: str, mend: bool) -> set[str]:
+    """The tokens of a text whose verdicts a reader may want; to mend, also broken words joined over up to four lines of furniture."""
+    out = set(text.split())
+    if mend:
+        rows = [w for w in map(str.split, text.split("\n")) if w]
+        for k, words in enumerate(rows):
+            if HYPHEN.search(words[-1]) and len(words[-1]) > 1:
+                for later in rows[k + 1 : k + 6]:
+                    out |= {words[-1][:-1] + later[0], words[-1] + later[0]}
+    return out
+
+
+def line_questions(text: str) -> tuple[set[str], set[int]]:
+    """What decides on a text's odd lines: the keys looked up among the footers, and the pairs that tell whether they flow on."""
+    lines = text.split("\n")
+    odd = outside_flow(lines) if len(lines) > 1 else []
+    if not odd:
+        return set(), set()
+    r = Reader({}, {}, {}, {}, set(), set())
+    filled = [i for i, x in enumerate(lines) if x.strip()]
+    place = {i: k for k, i in enumerate(filled)}
+    for i in odd:
+        k = place[i]
+        r._flows(lines[filled[k - 1]] if k else "", lines[i], lines[filled[k + 1]] if k + 1 < len(filled) else "")
+    own = (lines[i].strip() for i in odd)
+    return {fold(s).replace(" ", "") for s in own if _may_be_footer(s)}, {k for _, _, k in r.asked}
 
 
 def _key(s: str) -> str:
@@ -432,8 +560,6 @@ def _key(s: str) -> str:
 
 # statistics
 
-#: Words and pairs rarer than this share of all tokens are no statistics; so at most 1 / LEAST of each are kept.
-LEAST = 2e-7
 #: A line is known as a footer when it occurs so often, with this share of it beside page numbers, whatever the corpus's size.
 FOOTER_LEAST, FOOTER_BESIDE = 4, 0.4
 
@@ -442,10 +568,6 @@ def _may_be_footer(s: str) -> bool:
     return 9 <= len(s) <= 80 and not _RULE.match(s) and not is_page_number(s) and not _WIDE.match(s)
 
 
-def footer_keys(text: str) -> set[str]:
-    """The keys of a text's lines that are looked up among the footers."""
-    lines = text.split("\n")
-    return {fold(s).replace(" ", "") for s in (lines[i].strip() for i in outside_flow(lines)) if _may_be_footer(s)} if len(lines) > 1 else set()
 
 
 def count_text(text: str, tokens: Counter, odd_lines: Counter | None) -> None:
@@ -496,15 +618,32 @@ def statistics(tokens: Counter, digital: int, odd_lines: Counter) -> list[tuple[
     return out + [("l", key[1:], n, n if key[0] == "1" else 0) for key, n in odd_lines.items()]
 
 
-def build(rows, pairs=None) -> tuple[Lexicon, set[str]]:
-    """The lexicon and the footers from summed statistics rows."""
+def pair_counts(texts: list[str | None], memory: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the words that follow one another within a line, without a point or number between; ``memory`` keeps hashes of tokens."""
+    parts = []
+    for text in texts:
+        if not text:
+            continue
+        tokens = text.replace("\n", " \0 ").split()  # no pair over a line's end
+        for t in set(tokens):
+            if t not in memory:
+                c = core(t)
+                h = word_hash(c) if c and c != "\0" and len(c) <= LONGEST and not _DIGIT.search(c) else 0
+                memory[t] = h | (t[-1] in EDGE) if h else 0  # odd: a point follows, so nothing is paired with it
+        ids = np.fromiter(map(memory.__getitem__, tokens), np.uint64, len(tokens))
+        point, ids = ids & np.uint64(1), ids & ~np.uint64(1)
+        ok = (ids[:-1] > 0) & (ids[1:] > 0) & (point[:-1] == 0)
+        parts.append(pair_keys(ids[:-1][ok], ids[1:][ok]))
+    return np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def build(rows) -> tuple[Lexicon, set[str]]:
+    """The lexicon and the footers from summed statistics rows, in memory."""
     by: dict[str, dict[str, tuple[int, int]]] = {"w": {}, "s": {}, "p": {}, "l": {}}
     for kind, key, n, dig in rows:
         by[kind][key] = (n, dig)
     total, dig = sum(n for n, _ in by["w"].values()), sum(d for _, d in by["w"].values())
     share = dig / total if total else 0.0
-    words = trusted_words(by["w"], share)
     shapes = {k for k, (n, d) in by["s"].items() if (d >= 2 and d >= 0.3 * share * n if share else n >= 20)}
     footers = {k for k, (n, near) in by["l"].items() if n >= FOOTER_LEAST and near >= FOOTER_BESIDE * n}
-    others = {k: total if d else n for k, (n, d) in by["w"].items() if k not in words}  # one that is born digital is no misreading
-    return Lexicon(words, shapes, {k: n for k, (n, _) in by["p"].items()}, pairs or {}, others), footers
+    return Lexicon(trusted_words(by["w"], share), shapes, {k: n for k, (n, _) in by["p"].items()}, by["w"], total), footers

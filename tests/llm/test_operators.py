@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from foliospark.functions.png import encode
-from foliospark.llm import bpe, chunking, lexicon, packing, repair, strokes, survivors, toxicity
+from foliospark.llm import bpe, chunking, lexicon, packing, repair, scans, strokes, survivors, toxicity
 from foliospark.llm.components import grouped_split, hash_to_min, tied_pairs
 from foliospark.llm.leakage import cross_split_pairs, record_pairs
 from foliospark.llm.queries import LLM
@@ -400,14 +400,14 @@ def _corpus(spark):
 
 def test_findings_and_mended_text(spark):
     df = _corpus(spark)
-    lex, foot = learn(df.select(F.coalesce("merged_text", "tesseract_text").alias("text"), "digital"))
+    corpus = learn(df.select(F.coalesce("merged_text", "tesseract_text").alias("text"), "digital"))
     fields = ["tesseract_text", "htr_text", "merged_text"]
-    got = {(r.rec_id, r.field, r.line_no, r.kind) for r in scan(df, fields, lex, foot, False).collect()}
+    got = {(r.rec_id, r.field, r.line_no, r.kind) for r in scan(df, fields, corpus, False).collect()}
     for f in ("tesseract_text", "merged_text"):
         assert {(i, k) for rec, field, i, k in got if (rec, field) == ("n", f)} == {(0, "furniture"), (1, "hyphen"), (1, "misread"), (3, "hyphen"), (4, "misread"), (5, "furniture"), (6, "furniture"), (7, "misread")}
     assert {(f, i, k) for rec, f, i, k in got if rec == "h"} == {("htr_text", 0, "misread"), ("merged_text", 2, "misread")}
     assert not any(rec.startswith("d") for rec, *_ in got)
-    mended = {(r.rec_id, r.field): r.text for r in scan(df, fields, lex, foot, True).collect()}
+    mended = {(r.rec_id, r.field): r.text for r in scan(df, fields, corpus, True).collect()}
     text = mended["n", "tesseract_text"]
     assert text.startswith("The committee reviewed the attendance register") and "delivery note." in text and "Report" not in text and "municipal" in text and "well-preserved manuscript" in text
     assert mended["e", "merged_text"] == "" and ("z", "merged_text") not in mended and mended["h", "merged_text"] == "The committee.\n\nOur warehouse."
@@ -421,10 +421,8 @@ def test_short_and_rare_words_one_edit_away():
         counts[kind, key] += np.array([n, d])
     lex, foot = repair.build([(kind, key, *map(int, v)) for (kind, key), v in counts.items()])
     assert lexicon.fold("lctter") == lexicon.fold("letter") and lexicon.fold("act") == lexicon.fold("ad")
-    lex.pairs = {("the", "meter"): 30, ("meter", "reading"): 30}
-    r = repair.Reader(lex, foot)
+    r = repair.Reader.of(lex, {("the", "meter"): 30, ("meter", "reading"): 30}, foot)
     texts = {"lctter": "the lctter", "acfa": "der acfa der", "plain": "der mcker", "context": "the mcker reading", "right": "the cash", "unlike": "the motor"}
-    r.learn({t for x in texts.values() for t in x.split()})
     found = {k for k, x in texts.items() if r.judge(x) == [(0, "misread")]}
     assert found == {"lctter", "acfa", "context"}
     assert r.repaired("der acfa, the mcker reading") == "der acta, the meter reading"
@@ -434,20 +432,50 @@ def test_footers_stay_known_below_the_share_of_words(spark):
     page = "A line of the text that goes on until it is full here\nand then the sentence ends in the middle of it.\n{}\n12\n"
     rows = [(f"s{i}", page.format("notes on the osko collection")) for i in range(5)] + [(None, page.format("notes on the osko collection")), ("t", page.format("notes on the other house"))]
     df = spark.createDataFrame(rows, "rec_id string, tesseract_text string").withColumn("tab", F.lit("documents")).withColumn("digital", F.lit(False))
-    for share in (0.0, 0.5):
-        lex, foot = learn(df.select(F.col("tesseract_text").alias("text"), "digital"), share)
-        got = {(r.rec_id, r.line_no) for r in scan(df, ["tesseract_text"], lex, foot, False).where("kind = 'furniture'").collect()}
-        assert {r for r, i in got if i == 2} == {f"s{i}" for i in range(5)} | {None}
+    corpus = learn(df.select(F.col("tesseract_text").alias("text"), "digital"))
+    got = {(r.rec_id, r.line_no) for r in scan(df, ["tesseract_text"], corpus, False).where("kind = 'furniture'").collect()}
+    assert {r for r, i in got if i == 2} == {f"s{i}" for i in range(5)} | {None}
 
 
 def test_an_empty_corpus(spark):
     df = _corpus(spark).limit(0)
-    lex, foot = learn(df.select("merged_text", "digital"))
-    assert scan(df, ["tesseract_text"], lex, foot, False).count() == 0
-    assert repair.Reader(lex, foot).repaired("") == ""
+    corpus = learn(df.select(F.col("merged_text").alias("text"), "digital"))
+    assert scan(df, ["tesseract_text"], corpus, False).count() == 0
+    assert repair.Reader.of(lexicon.Lexicon({}, set(), {}), {}, set()).repaired("") == ""
 
 
 def test_columns_of_figures_are_text():
-    r = repair.Reader(lexicon.Lexicon({}, set(), {}, {}), set())
+    r = repair.Reader.of(lexicon.Lexicon({}, set(), {}), {}, set())
     lines = ["a long line of the text that goes on and", "12", "7", "53", "on until the sentence ends at the end.", "3"]
     assert r.furniture(lines) == {5}
+
+
+def test_chunks_and_repeated_rows_change_nothing(spark, monkeypatch):
+    good = "the committee approved the government payment before the meeting of the old council ended in june"
+    rows = [(f"d{i}", None, f"{good} {'word ' * (i % 3)}", True) for i in range(30)]
+    rows += [(f"s{i}", t, t, False) for i, t in enumerate(["the cornrnittee approved govemment payment zzqx", f"{'filling words of a text ' * 40}", "befcre the mceting of theold council\nof the coun-\ncil ended"] * 4)]
+    df = spark.createDataFrame(rows, "rec_id string, tesseract_text string, merged_text string, digital boolean").withColumn("tab", F.lit("documents"))
+    ten = df.join(spark.range(10).withColumnRenamed("id", "copy"))
+
+    def both(d):
+        corpus = learn(d.select("rec_id", F.col("merged_text").alias("text"), "digital"))
+        one = lambda mend: {tuple(r) for r in scan(d, ["tesseract_text"], corpus, mend).collect()}
+        return one(False), one(True)
+
+    found, mended = both(df)
+    assert ("documents", "s0", "tesseract_text", "the committee approved government payment zzqx") in mended
+    assert {(r, i) for _, r, _, i, k in found if k == "misread" and r in ("s0", "s2")} == {("s0", 0), ("s2", 0)}
+    assert both(ten) == (found, mended)
+    monkeypatch.setattr(scans, "CHUNK_CHARS", 10)
+    monkeypatch.setattr(scans, "BUCKET_FOLDS", 2)
+    assert both(df) == (found, mended)
+
+
+def test_halves_meet_wherever_the_edit_is():
+    r = random.Random(2)
+    for _ in range(3000):
+        a = "".join(r.choice("abc") for _ in range(r.randint(1, 9)))
+        i, c = r.randrange(len(a) + 1), r.choice("abc")
+        for b in (a[:i] + c + a[i:], a[:i] + c + a[i + 1 :], a[:i] + a[i + 1 :]):
+            if b:
+                assert scans._halves(a) & scans._halves(b)
