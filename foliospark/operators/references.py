@@ -1,9 +1,11 @@
 """References to records that do not exist, by binary search in range-partitioned key arrays.
 
 Parents are cut into ranges of about ``range_keys`` keys, each stored as one sorted array; references are
-probed in vectorised batches against the array of their range. A range that holds more references than
-``probe_rows`` (a popular key may hold a third of all) is spread over several probes by salt, with the
-range's parents repeated for each; so no task gathers more than a bounded number of rows.
+probed in vectorised batches against the array of their range. The ranges are of the keys' hashes, so they are even
+whatever the ids look like and need no cut points. A range that holds more references than ``probe_rows`` (a popular
+key may hold a third of all) is spread over several probes by salt, with the range's parents repeated for each; so no
+task gathers more than a bounded number of rows, and nothing that grows with the data is broadcast by hand or comes to
+the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RANGE_KEYS = 100_000
@@ -20,23 +22,9 @@ PROBE_ROWS = 200_000
 _FAR = np.iinfo(np.int64).max
 
 
-def _prefix(c):
-    """The first 15 digits as a number, in the same order as the keys."""
-    return F.conv(F.substring(c, 1, 15), 16, 10).cast("bigint")
-
-
-def _ranged(df: DataFrame, bounds: list[int]) -> DataFrame:
-    """``rng`` by the key's place among the bounds; few bounds, so a JVM expression of their places does."""
-    p = _prefix(F.col("key"))
-    if not bounds:
-        return df.withColumn("rng", F.lit(0))
-    edges = np.asarray(bounds, dtype=np.int64)
-
-    @F.pandas_udf("int")
-    def place(x: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, x.to_numpy(), side="right").astype(np.int32))
-
-    return df.withColumn("rng", place(p))
+def _range(n: int) -> Column:
+    """The place of a key's hash among ``n`` equal ranges."""
+    return F.floor(F.shiftrightunsigned(F.xxhash64("kind", "key"), 11) / F.lit(float(1 << 53)) * n).cast("int")
 
 
 def _probe(key, refs: pd.DataFrame, parents: pd.DataFrame) -> pd.DataFrame:
@@ -68,18 +56,14 @@ def orphan_references(refs: DataFrame, parents: DataFrame, range_keys: int = RAN
     reason is missing, else deleted, else late. Repeated references come out once.
     """
     far = F.lit(int(_FAR))
-    p = parents.where("key is not null").groupBy("kind", "key").agg(F.max(F.coalesce("deleted", F.lit(False))).alias("gone"), F.coalesce(F.min("came_us"), F.lit(0)).alias("came_us"))
-    n = p.count()
-    n_ranges = max(1, math.ceil(n / range_keys))
-    bounds: list[int] = []
-    if n_ranges > 1:
-        cuts = [i / n_ranges for i in range(1, n_ranges)]
-        bounds = sorted({int(x) for x in p.select(F.percentile_approx(_prefix(F.col("key")), cuts, max(10_000, 20 * n_ranges)).alias("q")).first()["q"]})
+    named = refs.where("key is not null")
+    # a bound from the tables' row counts, which Parquet knows without reading rows
+    n = max(1, math.ceil(parents.count() / range_keys), math.ceil(refs.count() / probe_rows))
     kind_key = F.concat("kind", "key").alias("kind_key")
-    r = _ranged(refs.where("key is not null").dropDuplicates(["tab", "rec_id", "kind", "key", "ref_us"]), bounds)
-    sizes = r.groupBy("rng").agg(F.count("*").alias("m")).select("rng", F.ceil(F.col("m") / probe_rows).cast("int").alias("salts"))
-    sized = F.broadcast(sizes)  # one row a range, as many as the bounds
-    left = r.join(sized, "rng").select("rng", F.pmod(F.xxhash64("tab", "rec_id"), F.col("salts")).cast("int").alias("salt"), "tab", "rec_id", "month", F.coalesce("ref_us", far).alias("ref_us"), kind_key)
-    right = _ranged(p, bounds).join(sized, "rng").select("rng", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), kind_key, "gone", "came_us")
+    sizes = named.groupBy(_range(n).alias("rng")).agg(F.ceil(F.count("*") / probe_rows).cast("int").alias("salts"))
+    left = named.withColumn("rng", _range(n)).join(sizes, "rng")
+    left = left.select("rng", F.pmod(F.xxhash64("tab", "rec_id"), F.col("salts")).cast("int").alias("salt"), "tab", "rec_id", "month", F.coalesce("ref_us", far).alias("ref_us"), kind_key)
+    p = parents.where("key is not null").groupBy("kind", "key").agg(F.max(F.coalesce("deleted", F.lit(False))).alias("gone"), F.coalesce(F.min("came_us"), F.lit(0)).alias("came_us"))
+    right = p.withColumn("rng", _range(n)).join(sizes, "rng").select("rng", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), kind_key, "gone", "came_us")
     found = left.groupBy("rng", "salt").cogroup(right.groupBy("rng", "salt")).applyInPandas(lambda k, a, b: _probe(k, a, b), "tab string, rec_id string, month string, reason string")
     return found.dropDuplicates(["tab", "rec_id", "reason", "month"])
