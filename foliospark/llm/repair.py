@@ -383,16 +383,17 @@ class Reader:
         onto = bool(right) and words[-1][-1] not in EDGE and self._pair(core(words[-1]), core(right[0])) >= 3
         return into or onto
 
-    def judge(self, text: str) -> list[tuple[int, str]]:
-        """``(line_no, kind)`` of a text."""
+    def judge(self, text: str, odd: list[int] | None = None) -> list[tuple[int, str]]:
+        """``(line_no, kind)`` of a text, whose lines outside the flow may be given."""
         lines = text.split("\n")
-        furniture = self.furniture(lines) if len(lines) > 1 else set()
+        furniture = self.furniture(lines, odd) if len(lines) > 1 else set()
         out = [(i, "furniture") for i in sorted(furniture)]
         rows = [(i, lines[i].split()) for i in range(len(lines)) if i not in furniture]
         rows = [(i, w) for i, w in rows if w]
         skip_first = carried = False
+        get = self.verdicts.get
         for k, (i, words) in enumerate(rows):
-            codes = [self._code(w) for w in words]
+            codes = [v[0] if (v := get(w)) else FINE for w in words]
             if NEAR in codes:
                 before = rows[k - 1][1][-1] if k and not skip_first else None
                 after = rows[k + 1][1][0] if k + 1 < len(rows) else None
@@ -438,9 +439,8 @@ class Reader:
             if w is not None:
                 mine = core(left).lstrip(EDGE)
                 return not own, not w.startswith(mine), not w.endswith(core(b))
-        parts = [p for p in re.split(r"-", kept) if p]
-        known = [self._word(p) > 0 for p in parts]
-        if len(parts) > 1 and a[-1] == "-" and all(known) and len(parts[-1]) > 2:
+        parts = [p for p in kept.split("-") if p]
+        if len(parts) > 1 and a[-1] == "-" and len(parts[-1]) > 2 and self._code(a) == self._code(b) == FINE:
             return False, False, False
         # an unknown whole: the halves' own words decide on misreadings
         return True, False, False
@@ -472,10 +472,10 @@ class Reader:
             best = best[:1].upper() + best[1:]
         return token[:at] + best + token[at + len(c) :] if at >= 0 else token
 
-    def repaired(self, text: str) -> str:
+    def repaired(self, text: str, odd: list[int] | None = None) -> str:
         """The text in paragraphs: furniture dropped, broken words joined, misread words mended by rank in context."""
         lines = text.split("\n")
-        furniture = self.furniture(lines) if len(lines) > 1 else set()
+        furniture = self.furniture(lines, odd) if len(lines) > 1 else set()
         if self.asked is None:
             return "\n\n".join(self._mended(p) for p in self._paragraphs(lines, furniture) if p)
         for always in (True, False):  # whichever way a broken word is joined
@@ -536,12 +536,16 @@ def text_tokens(text: str, mend: bool) -> set[str]:
     return out
 
 
-def line_questions(text: str) -> tuple[set[str], set[int]]:
-    """What decides on a text's odd lines: the keys looked up among the footers, and the pairs that tell whether they flow on."""
+def odd_lines(text: str) -> list[int]:
     lines = text.split("\n")
-    odd = outside_flow(lines) if len(lines) > 1 else []
+    return outside_flow(lines) if len(lines) > 1 else []
+
+
+def line_questions(text: str, odd: list[int]) -> tuple[set[str], set[int]]:
+    """What decides on a text's odd lines: the keys looked up among the footers, and the pairs that tell whether they flow on."""
     if not odd:
         return set(), set()
+    lines = text.split("\n")
     r = Reader({}, {}, {}, {}, set(), set())
     filled = [i for i, x in enumerate(lines) if x.strip()]
     place = {i: k for k, i in enumerate(filled)}

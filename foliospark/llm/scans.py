@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .lexicon import COMMON, EDGE, LONGEST, RATIO, Lexicon, Trie, fold, shape
 from .repair import (
-    FINE, FOOTER_BESIDE, FOOTER_LEAST, MISREAD, Reader, TypeJudge, core, count_text, is_number, line_questions, pair_counts, statistics, text_tokens, type_questions,
+    FINE, FOOTER_BESIDE, FOOTER_LEAST, MISREAD, Reader, TypeJudge, core, count_text, is_number, line_questions, odd_lines, pair_counts, statistics, text_tokens, type_questions,
 )
 
 _FLUSH = 400_000
@@ -227,9 +227,9 @@ def _shifted(t: str | None, h: str | None, m: str | None) -> int | None:
 
 
 def _chunked(records: DataFrame, fields: list[str]) -> DataFrame:
-    """Scanned records with ``chunk`` and ``shift``; a merged text that only joins the others travels as its shift."""
+    """Scanned records with ``chunk``, ``shift`` and ``odd``, the lines outside the flow of each field; a merged text that only joins the others travels as its shift."""
     names = ["tab", "rec_id", *fields]
-    schema = pa.schema([("chunk", pa.int64()), ("shift", pa.int32()), *((c, pa.string()) for c in names)])
+    schema = pa.schema([("chunk", pa.int64()), ("shift", pa.int32()), ("odd", pa.list_(pa.list_(pa.int32()))), *((c, pa.string()) for c in names)])
     joined = [fields.index(f) + 2 if f in fields else None for f in ("tesseract_text", "htr_text", "merged_text")]
 
     def run(batches):
@@ -243,13 +243,13 @@ def _chunked(records: DataFrame, fields: list[str]) -> DataFrame:
                     if shift is not None:
                         row[joined[2]] = None
                 size += sum(len(x) for x in row[2:] if x)
-                rows.append((chunk, shift, *row))
+                rows.append((chunk, shift, [odd_lines(x) if x else [] for x in row[2:]], *row))
                 if size > CHUNK_CHARS:
                     chunk, size = chunk + 1, 0
             yield _batch(rows, schema.names, schema.types)
 
     out = records.where(~F.col("digital")).select(*names)
-    return stage(out.mapInArrow(run, "chunk bigint, shift int, " + ", ".join(f"{c} string" for c in names)))
+    return stage(out.mapInArrow(run, "chunk bigint, shift int, odd array<array<int>>, " + ", ".join(f"{c} string" for c in names)))
 
 
 def _chunk_questions(chunked: DataFrame, fields: list[str], mend: bool) -> DataFrame:
@@ -260,20 +260,20 @@ def _chunk_questions(chunked: DataFrame, fields: list[str], mend: bool) -> DataF
         own, now = set(), None
         for b in batches:
             rows = []
-            for chunk, *texts in zip(*(c.to_pylist() for c in b.columns)):
+            for chunk, odd, *texts in zip(*(c.to_pylist() for c in b.columns)):
                 if chunk != now or len(own) > _FLUSH:
                     rows += [(now, *q) for q in own]
                     own, now = set(), chunk
-                for t in texts:
+                for t, lines in zip(texts, odd):
                     if t:
                         own |= {("t", x, None) for x in text_tokens(t, mend)}
-                        keys, pairs = line_questions(t)
+                        keys, pairs = line_questions(t, lines)
                         own |= {("l", x, None) for x in keys}
                         own |= {("b", None, x) for x in pairs}
             yield _batch(rows, names, types)
         yield _batch([(now, *q) for q in own], names, types)
 
-    return stage(chunked.select("chunk", *fields).mapInArrow(run, f"chunk bigint, {_ASK}"))
+    return stage(chunked.select("chunk", "odd", *fields).mapInArrow(run, f"chunk bigint, {_ASK}"))
 
 
 def _reader(facts: pa.Table, asked: set | None) -> Reader:
@@ -315,10 +315,11 @@ def scan(records: DataFrame, fields: list[str], corpus: Corpus, mend: bool) -> D
     def ask(key, left: pa.Table, right: pa.Table) -> pa.Table:
         asked: set = set()
         reader = _reader(right, asked)
-        for f in fields:
-            for text in left.column(f).to_pylist():
+        odd = left.column("odd").to_pylist()
+        for k, f in enumerate(fields):
+            for i, text in enumerate(left.column(f).to_pylist()):
                 if text:
-                    reader.repaired(text) if mend else reader.judge(text)
+                    (reader.repaired if mend else reader.judge)(text, odd[i][k])
         return pa.Table.from_batches([_batch([(key[0].as_py(), *q) for q in asked], ["chunk", "kind", "key", "pair"], [pa.int64(), pa.string(), pa.string(), pa.int64()])])
 
     wanted = stage(texts.cogroup(dealt(facts)).applyInArrow(ask, f"chunk bigint, {_ASK}"))
@@ -334,17 +335,17 @@ def scan(records: DataFrame, fields: list[str], corpus: Corpus, mend: bool) -> D
         cols = {c: left.column(c).to_pylist() for c in left.column_names}
         for i, shift in enumerate(cols["shift"]):
             done: dict[str, list | str] = {}
-            for f in fields:
+            for k, f in enumerate(fields):
                 text = cols[f][i]
                 if f == "merged_text" and shift is not None:
                     t, h = done.get("tesseract_text"), done.get("htr_text")
-                    done[f] = "\n\n".join(x for x in (t, h) if x) if mend else (t or []) + [(n + shift, k) for n, k in h or ()]
+                    done[f] = "\n\n".join(x for x in (t, h) if x) if mend else (t or []) + [(line + shift, kind) for line, kind in h or ()]
                 elif text is not None:
-                    done[f] = reader.repaired(text) if mend else reader.judge(text)
+                    done[f] = (reader.repaired if mend else reader.judge)(text, cols["odd"][i][k])
                 else:
                     continue
                 mine = (cols["tab"][i], cols["rec_id"][i], f)
-                out += [(*mine, done[f])] if mend else [(*mine, n, k) for n, k in done[f]]
+                out += [(*mine, done[f])] if mend else [(*mine, line, kind) for line, kind in done[f]]
         return pa.Table.from_batches([_batch(out, names, types)])
 
     schema = "tab string, rec_id string, field string, " + ("text string" if mend else "line_no int, kind string")
