@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from foliospark.functions.png import encode
-from foliospark.llm import bpe, chunking, lexicon, packing, repair, scans, strokes, survivors, toxicity
+from foliospark.llm import bpe, chunking, leakage, lexicon, packing, repair, scans, strokes, survivors, toxicity
 from foliospark.llm.components import grouped_split, hash_to_min, tied_pairs
 from foliospark.llm.leakage import cross_split_pairs, record_pairs
 from foliospark.llm.queries import LLM
@@ -295,6 +295,20 @@ def test_copies_are_found_and_other_lines_are_not(spark):
     assert record_pairs(*cross_split_pairs(df.limit(0))).count() == 0
 
 
+def test_heavy_seeds_are_lengthened_and_lose_no_copy(spark, monkeypatch):
+    frame = np.tile(np.array([40] * 6 + [235] * 6, np.uint8), (32, 10))  # a pattern that every picture starts with
+    rows = []
+    for k in range(12):
+        a = np.concatenate([frame, _line(k)], axis=1)
+        rows += [(f"t{k}", encode(a), "t", "train", "s"), (f"v{k}", encode((a * 0.9).astype(np.uint8)), "t", "val", "s"), (f"w{k}", encode(np.concatenate([frame, _line(500 + k)], axis=1)), "t", "val", "s")]
+    df = spark.createDataFrame(rows, "image_id string, image_png binary, transcription string, split string, source string")
+    pairs = lambda: sorted(map(tuple, record_pairs(*cross_split_pairs(df)).select("eval_id", "train_id").collect()))
+    plain = pairs()
+    assert plain == sorted((f"v{k}", f"t{k}") for k in range(12))
+    monkeypatch.setattr(leakage, "HEAVY", 20)
+    assert pairs() == plain
+
+
 def test_fingerprints_do_not_depend_on_the_batch():
     inks = [strokes.ink(encode(_line(k, 120 + 10 * k))) for k in range(5)]
     alone = [strokes.fingerprints([x])[0] for x in inks]
