@@ -36,7 +36,9 @@ def norm_id(c: Column | str) -> Column:
 def sql_hex(c: str) -> str:
     """The same digits in DuckDB's SQL."""
     d = f"lower(regexp_replace({c}, '[^0-9A-Fa-f]', '', 'g'))"
-    return f"(case when length({d}) = 32 then {d} end)"
+    h = "[0-9A-Fa-f]"
+    inner = f"lower(replace(regexp_extract({c}, '(?:^|[^0-9A-Fa-f])({h}{{8}}-?{h}{{4}}-?{h}{{4}}-?{h}{{4}}-?{h}{{12}})(?:[^0-9A-Fa-f]|$)', 1), '-', ''))"
+    return f"(case when length({d}) = 32 then {d} when length({d}) > 32 and length({inner}) = 32 then {inner} end)"
 
 
 def sql_id(c: str) -> str:

@@ -6,6 +6,8 @@ import numpy as np
 
 INK_BELOW, START_SHARE, END_SHARE = 180, 0.02, 0.01
 MIN_HEIGHT, MIN_WIDTH, PAD = 15, 50, 5
+#: The usual weights of red, green and blue in gray.
+LUMA = np.array([0.299, 0.587, 0.114])
 
 
 def ink_rows(gray: np.ndarray, below: int = INK_BELOW) -> np.ndarray:
@@ -29,7 +31,7 @@ def regions(gray: np.ndarray, below: int = INK_BELOW, min_height: int = MIN_HEIG
         elif start is not None and n <= END_SHARE * w:
             columns = np.flatnonzero((gray[start:y] < below).any(axis=0))
             if y - start >= min_height and len(columns):
-                x0, x1 = max(0, int(columns[0]) - pad), min(w, int(columns[-1]) + 1 + pad)
+                x0, x1 = max(0, int(columns[0]) - pad), min(w, int(columns[-1]) + pad)
                 if x1 - x0 >= min_width:
                     out.append((x0, start, x1, y))
             start = None
@@ -51,8 +53,8 @@ def resize(a: np.ndarray, height: int, width: int) -> np.ndarray:
 
 
 def to_height(a: np.ndarray, height: int = 128) -> np.ndarray:
-    """Resized to a height, keeping the aspect."""
-    return resize(a, height, max(1, int(height * a.shape[1] / a.shape[0])))
+    """Resized to a height, keeping the aspect, in whole steps of brightness."""
+    return np.clip(np.rint(resize(a, height, max(1, int(height * a.shape[1] / a.shape[0])))), 0, 255)
 
 
 def average_hash(gray: np.ndarray, side: int = 8) -> str:
@@ -67,25 +69,29 @@ def grid_feature(gray: np.ndarray, rows: int = 4, cols: int = 16) -> list[float]
     return a.reshape(rows, 64 // rows, cols, 512 // cols).mean(axis=(1, 3)).reshape(-1).tolist()
 
 
-def augment(gray: np.ndarray, seed: int) -> np.ndarray:
-    """Rotation up to 10 degrees on white, brightness and contrast by 0.7 to 1.3, blur half of the time, specks in a third."""
+def augment(picture: np.ndarray, seed: int) -> np.ndarray:
+    """Rotation up to 10 degrees on white, brightness and contrast by 0.7 to 1.3, blur half of the time, specks in a third.
+
+    Gray stays gray and RGB stays RGB; the contrast turns about the mean of the gray picture.
+    """
     r = np.random.default_rng(seed)
-    h, w = gray.shape
+    h, w = picture.shape[:2]
     angle = np.deg2rad(r.uniform(-10, 10))
     y, x = np.mgrid[:h, :w]
     cy, cx = (h - 1) / 2, (w - 1) / 2
     sx = np.rint(np.cos(angle) * (x - cx) - np.sin(angle) * (y - cy) + cx).astype(int)
     sy = np.rint(np.sin(angle) * (x - cx) + np.cos(angle) * (y - cy) + cy).astype(int)
     ok = (sx >= 0) & (sx < w) & (sy >= 0) & (sy < h)
-    a = np.where(ok, gray[np.clip(sy, 0, h - 1), np.clip(sx, 0, w - 1)], 255).astype(np.float64)
+    a = picture[np.clip(sy, 0, h - 1), np.clip(sx, 0, w - 1)].astype(np.float64)
+    a[~ok] = 255
     a = np.clip(a * r.uniform(0.7, 1.3), 0, 255)
-    mean = round(float(a.mean()))
+    mean = round(float((a if a.ndim == 2 else a @ LUMA).mean()))
     a = np.clip(mean + (a - mean) * r.uniform(0.7, 1.3), 0, 255)
     if r.random() < 0.5:
         sigma = r.uniform(0.3, 1.0)
         k = np.exp(-0.5 * (np.arange(-3, 4) / sigma) ** 2)
         k /= k.sum()
-        p = np.pad(a, 3, mode="edge")
+        p = np.pad(a, ((3, 3), (3, 3)) + ((0, 0),) * (a.ndim - 2), mode="edge")
         p = sum(k[i] * p[:, i : i + w] for i in range(7))
         a = sum(k[i] * p[i : i + h] for i in range(7))
     if r.random() < 0.3:
@@ -95,6 +101,21 @@ def augment(gray: np.ndarray, seed: int) -> np.ndarray:
     return np.clip(np.rint(a), 0, 255).astype(np.uint8)
 
 
+def typed_strip(seed: int, height: int = 64, width: int = 512) -> np.ndarray:
+    """A light strip with dark bars in the rhythm of typed words, unlike handwriting, to try drift detectors on."""
+    r = np.random.default_rng(seed)
+    strip = np.full((height, width), 245, np.uint8)
+    x = 10
+    for _ in range(int(r.integers(4, 9))):
+        for _ in range(int(r.integers(2, 9))):
+            if x + 8 > width - 10:
+                return strip
+            strip[15 : 15 + int(r.choice([24, 32])), x : x + 6] = 15
+            x += 10
+        x += 12
+    return strip
+
+
 def compose_page(texts: list[str], seed: int, height: int = 1100, width: int = 850) -> np.ndarray:
     """A light page with dark strokes for each text, for demos and tests."""
     r = np.random.default_rng(seed)

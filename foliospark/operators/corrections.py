@@ -32,15 +32,19 @@ def document_split(rows: DataFrame, column: str = "document_id", val_share: int
     return rows.withColumn("split", F.when(bucket_10000(F.col(column)) < val_share, "val").otherwise("train"))
 
 
-def as_of(events: DataFrame, versions: DataFrame, key: str, event_at: str, version_at: str, value: str, salts: int = 8) -> DataFrame:
+def as_of(events: DataFrame, versions: DataFrame, key: str, event_at: str, version_at: str, value: str, hot_rows: int = 100_000) -> DataFrame:
     """Each event with the value of the newest version at or before it, null before the first.
 
-    Versions and events of a key are merged in time order and the last version carried on; a popular key's events are
-    dealt to ``salts`` parts, each with all of the key's versions.
+    Versions and events of a key are merged in time order and the last version carried on. A key with more than
+    ``hot_rows`` events has them dealt to so many parts that none holds more, each with all of the key's versions.
     """
     keep = [c for c in events.columns if c != key]
-    v = versions.where(F.col(key).isNotNull() & F.col(version_at).isNotNull()).select(F.col(key), F.col(version_at).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(value).alias("x")).alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), F.lit(None).alias("_e"))
-    e = events.where(F.col(key).isNotNull()).select(F.col(key), F.col(event_at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.pmod(F.xxhash64(*keep), F.lit(salts)).cast("int").alias("_salt"), F.struct(*keep).alias("_e"))
+    named = events.where(F.col(key).isNotNull())
+    hot = named.groupBy(key).agg(F.ceil(F.count("*") / hot_rows).cast("int").alias("_parts")).where("_parts > 1")
+    parts = F.coalesce("_parts", F.lit(1))
+    v = versions.where(F.col(key).isNotNull() & F.col(version_at).isNotNull()).join(hot, key, "left")
+    v = v.select(F.col(key), F.col(version_at).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(value).alias("x")).alias("_v"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt"), F.lit(None).alias("_e"))
+    e = named.join(hot, key, "left").select(F.col(key), F.col(event_at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.pmod(F.xxhash64(*keep), parts).cast("int").alias("_salt"), F.struct(*keep).alias("_e"))
     v = v.withColumn("_e", F.lit(None).cast(e.schema["_e"].dataType))
     w = Window.partitionBy(key, "_salt").orderBy("_at", "_kind", F.col("_v.x")).rowsBetween(Window.unboundedPreceding, 0)
     merged = v.unionByName(e).withColumn("_last", F.last("_v", ignorenulls=True).over(w)).where("_kind = 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKET_ROWS = 1000
 TYPES = ("click", "thumbs_up", "thumbs_down")
 
 
@@ -39,20 +40,31 @@ def time_split(rows: DataFrame, ts: str, as_of: str, days: int = 7) -> DataFrame
     return rows.withColumn("split", F.when(F.col(ts) < cutoff, "train").otherwise("val"))
 
 
+def number(h, at: int):
+    """Eight hexadecimal digits of a hash as a number."""
+    return F.conv(F.substring(h, at, 8), 16, 10).cast("bigint")
+
+
+def bucketed(rows: DataFrame) -> DataFrame:
+    """``rows`` with nb, the number of buckets for about ``BUCKET_ROWS`` each, and b, the bucket by the hash h."""
+    total = rows.agg(F.greatest(F.lit(1), F.floor(F.count("*") / BUCKET_ROWS)).alias("nb"))
+    return rows.crossJoin(F.broadcast(total)).withColumn("b", number(F.col("h"), 1) % F.col("nb"))  # one row
+
+
 def synthetic_negatives(pairs: DataFrame) -> DataFrame:
     """For half of the positives a text of another positive, label 0, dropped where it equals the own text.
 
-    Positives are dealt by hash into 256 buckets; within a bucket the first half by hash gets negatives, each from a
-    bucket and place drawn by hash, so no step ranks all rows in one task.
+    Positives are dealt by hash into as many buckets as give each about ``BUCKET_ROWS``; within a bucket the first half by
+    hash gets negatives, each from a bucket and place drawn by hash, so no step ranks more than a bucket in one task.
     """
-    p = pairs.where("label = 1 and chunk_text <> '(no text)'").withColumn("h", F.md5(F.concat_ws("|", "session_id", "doc_id", "feedback_type", "query_text"))).withColumn("b", F.substring("h", 1, 2))
+    p = bucketed(pairs.where("label = 1 and chunk_text <> '(no text)'").withColumn("h", F.md5(F.concat_ws("|", "session_id", "doc_id", "feedback_type", "query_text"))))
     w = Window.partitionBy("b").orderBy("h", "triplet_id")
     ranked = p.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("b")))
     pool = ranked.select(F.col("b").alias("pb"), F.col("rn").alias("pick"), F.col("n").alias("pn"), F.col("chunk_text").alias("neg_text"))
     sizes = ranked.groupBy("b").agg(F.count("*").alias("pn")).withColumnRenamed("b", "pb")
     g = F.md5(F.concat("h", F.lit("neg")))
-    want = ranked.where(F.col("rn") <= F.floor(F.col("n") / 2)).withColumn("pb", F.substring(g, 1, 2)).withColumn("z", F.conv(F.substring(g, 3, 8), 16, 10).cast("bigint"))
-    want = want.join(F.broadcast(sizes), "pb")  # at most 256 rows
+    want = ranked.where(F.col("rn") <= F.floor(F.col("n") / 2)).withColumn("pb", number(g, 1) % F.col("nb")).withColumn("z", number(g, 9))
+    want = want.join(sizes, "pb")
     want = want.withColumn("pick", (F.col("z") % F.col("pn") + 1).cast("int"))
     got = want.join(pool.drop("pn"), ["pb", "pick"]).where("neg_text <> chunk_text")
     return got.select("session_id", "query_text", F.lit("synthetic_neg").alias("doc_id"), F.col("neg_text").alias("chunk_text"), F.lit(0).alias("label"), "query_date", "queried_at")

@@ -44,10 +44,10 @@ def picture_stats(images: DataFrame, id_col: str, png_col: str) -> DataFrame:
     return images.select(F.col(id_col).cast("string").alias("i"), F.col(png_col).alias("p")).mapInArrow(run, "image_id string, decodes boolean, height int, width int, mean double, std double, white double, is_blank boolean, average_hash string, round_trip boolean")
 
 
-def region_features(images: DataFrame, id_col: str, png_col: str, min_height: int = 3, min_width: int = 10) -> DataFrame:
+def region_features(images: DataFrame, id_col: str, png_col: str, min_height: int = kernels.MIN_HEIGHT, min_width: int = kernels.MIN_WIDTH) -> DataFrame:
     """Regions of each picture with box, size at height 128 and mean and deviation of pixels scaled to [-1, 1].
 
-    Line images are 32 rows high, so regions may be smaller than on pages. Broken pictures give none.
+    Regions lower or narrower than the least sizes are left out. Broken pictures give none.
     """
 
     def run(batches):
@@ -77,11 +77,12 @@ def augmented(images: DataFrame, copies: int = 3) -> DataFrame:
         for b in batches:
             rows = []
             for i, data, t, s in zip(*(c.to_pylist() for c in b.columns)):
-                g = _gray(data)
-                if g is None:
+                try:
+                    picture = decode(data)
+                except BrokenPng:
                     continue
                 for k in range(copies):
-                    rows.append((f"{i}_aug{k}", encode(kernels.augment(g, zlib.crc32(f"{i}:{k}".encode()))), t, f"{s}_augmented"))
+                    rows.append((f"{i}_aug{k}", encode(kernels.augment(picture, zlib.crc32(f"{i}:{k}".encode()))), t, f"{s}_augmented"))
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.binary(), pa.string(), pa.string()))], ["image_id", "image_png", "transcription", "split"])
 

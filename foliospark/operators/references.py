@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 RANGE_KEYS = 100_000
 PROBE_ROWS = 200_000
 _FAR = np.iinfo(np.int64).max
@@ -60,7 +62,9 @@ def orphan_references(refs: DataFrame, parents: DataFrame, range_keys: int = RAN
     # a bound from the tables' row counts, which Parquet knows without reading rows
     n = max(1, math.ceil(parents.count() / range_keys), math.ceil(refs.count() / probe_rows))
     kind_key = F.concat("kind", "key").alias("kind_key")
+    # staged, so its size is known when Spark decides between a broadcast and a shuffle of both sides
     sizes = named.groupBy(_range(n).alias("rng")).agg(F.ceil(F.count("*") / probe_rows).cast("int").alias("salts"))
+    sizes = stage(sizes)
     left = named.withColumn("rng", _range(n)).join(sizes, "rng")
     left = left.select("rng", F.pmod(F.xxhash64("tab", "rec_id"), F.col("salts")).cast("int").alias("salt"), "tab", "rec_id", "month", F.coalesce("ref_us", far).alias("ref_us"), kind_key)
     p = parents.where("key is not null").groupBy("kind", "key").agg(F.max(F.coalesce("deleted", F.lit(False))).alias("gone"), F.coalesce(F.min("came_us"), F.lit(0)).alias("came_us"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.text import words
 from ..session import stage
 
-BLOCK = 512
+BLOCK = 8192
 CHUNK_ROWS = 4096
+BROADCAST_BYTES = 64 << 20
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, window: int = 256, step: int = 64, least: int = 10) -> DataFrame:
@@ -22,52 +23,98 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, window: int = 256, step:
     return w.select("doc_id", F.posexplode(parts).alias("chunk_index", "p")).select("doc_id", "chunk_index", F.size("p").alias("n_words"), F.concat_ws(" ", "p").alias("chunk_text"))
 
 
-def _packed(df: DataFrame, id_col: str, vec_col: str, rows: int, name: str) -> DataFrame:
-    """Rows of up to ``rows`` vectors: ids and one flat array of doubles."""
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Vectors of one length as a matrix of doubles, without a Python object for a number."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
+
+
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    na, nb = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.nan_to_num((a @ b.T) / (na[:, None] * nb[None, :]))
+
+
+class _Best:
+    """The k best (id, score) of each query so far; equal scores, to twelve places, go to the smaller id."""
+
+    def __init__(self, queries: np.ndarray, k: int) -> None:
+        self.queries, self.k = queries, k
+        self.ids, self.scores = [np.empty(0, np.int64)] * len(queries), [np.empty(0)] * len(queries)
+
+    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        for r, s in enumerate(scores):
+            i, s = np.concatenate([self.ids[r], ids]), np.concatenate([self.scores[r], s])
+            near = np.round(s, 12)
+            if len(s) > self.k:
+                keep = np.flatnonzero(near >= np.partition(near, len(s) - self.k)[len(s) - self.k])
+                i, s, near = i[keep], s[keep], near[keep]
+            o = np.lexsort((i, -near))[: self.k]
+            self.ids[r], self.scores[r] = i[o], s[o]
+
+    def batch(self) -> pa.RecordBatch:
+        n = [len(i) for i in self.ids]
+        q = np.repeat(self.queries, n)
+        return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(np.concatenate([*self.ids, np.empty(0, np.int64)]), pa.int64()), pa.array(np.concatenate([*self.scores, np.empty(0)]), pa.float64())], _HIT_NAMES)
+
+
+_HIT_NAMES = ["query_id", "vec_id", "score"]
+_HITS = "query_id bigint, vec_id bigint, score double"
+
+
+def _packed(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """Rows of up to ``rows`` vectors (i, v): ids and one flat array of doubles."""
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, rows):
                 p = b.slice(at, rows)
-                vecs = p.column(1)
-                flat = vecs.flatten().cast(pa.float64())
-                ids = p.column(0)
-                yield pa.RecordBatch.from_arrays([pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([flat.to_pylist()], pa.list_(pa.float64()))], [f"{name}_ids", f"{name}_flat"])
+                flat = _matrix(p.column(1)).reshape(-1)
+                one = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t))
+                yield pa.RecordBatch.from_arrays([one(p.column(0).to_numpy(zero_copy_only=False), pa.int64()), one(flat, pa.float64())], [f"{name}_ids", f"{name}_flat"])
 
-    ok = df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("i"), F.col(vec_col).alias("v"))
-    return ok.mapInArrow(run, f"{name}_ids array<bigint>, {name}_flat array<double>")
+    return df.mapInArrow(run, f"{name}_ids array<bigint>, {name}_flat array<double>")
 
 
-def top_k(queries: DataFrame, vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
+def top_k(queries: DataFrame, vectors: DataFrame, id_col: str, vec_col: str, k: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``query_id, vec_id, score``: the k nearest vectors of each query by cosine, ties to the smaller id.
 
-    Queries and vectors are packed in blocks; every pair of blocks is one matrix product, and only its k best for each
-    query go on, so the shuffle holds blocks and winners, not pairs of rows.
+    Rows without id or vector are left out. Queries of up to ``broadcast_bytes`` are broadcast, so the vectors are scanned once where
+    they lie and only each task's k best of a query are shuffled. More queries meet the vectors in blocks: a copy of the
+    vectors for every ``BLOCK`` queries goes through the shuffle.
     """
-    q = stage(_packed(queries, id_col, vec_col, BLOCK, "q").withColumn("block", F.monotonically_increasing_id()))
-    blocks = q.select("block")
-    v = _packed(vectors, id_col, vec_col, CHUNK_ROWS, "v")
-    # every vector block meets every query block: the numbers of query blocks are few (a block has BLOCK queries)
-    numbers = blocks.agg(F.collect_list("block").alias("all"))
-    spread = v.join(F.broadcast(numbers)).select("v_ids", "v_flat", F.explode("all").alias("block"))
-
-    def run(batches):
-        for b in batches:
-            out_q, out_v, out_s = [], [], []
-            for qi, qf, vi, vf in zip(*(b.column(c).to_pylist() for c in ("q_ids", "q_flat", "v_ids", "v_flat"))):
-                a, m = np.asarray(qf).reshape(len(qi), -1), np.asarray(vf).reshape(len(vi), -1)
-                na, nm = np.sqrt((a * a).sum(1)), np.sqrt((m * m).sum(1))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    s = np.nan_to_num((a @ m.T) / (na[:, None] * nm[None, :]))
-                ids = np.asarray(vi)
-                for r in range(len(qi)):
-                    o = np.lexsort((ids, -np.round(s[r], 12)))[:k]
-                    out_q += [qi[r]] * len(o)
-                    out_v += ids[o].tolist()
-                    out_s += s[r][o].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_s, pa.float64())], ["query_id", "vec_id", "score"])
-
-    near = q.join(spread, "block").select("q_ids", "q_flat", "v_ids", "v_flat").mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    ok = lambda df: df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("i"), F.col(vec_col).alias("v"))
+    q, v = stage(ok(queries)), ok(vectors)
+    size = q.agg(F.coalesce(F.sum(8 * F.size("v") + 8), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
+        rows = q.toArrow()  # its size has just been checked
+        ids = rows.column("i").to_numpy()
+        asked = v.sparkSession.sparkContext.broadcast((ids, _matrix(rows.column("v").combine_chunks()) if len(ids) else None))
+
+        def scan(batches):
+            ids, a = asked.value
+            best = _Best(ids, k)
+            for b in batches:
+                for at in range(0, b.num_rows if len(ids) else 0, CHUNK_ROWS):
+                    p = b.slice(at, CHUNK_ROWS)
+                    best.add(p.column(0).to_numpy(zero_copy_only=False), _cosines(a, _matrix(p.column(1))))
+            yield best.batch()
+
+        near = v.mapInArrow(scan, _HITS)
+    else:
+        blocks = stage(_packed(q, BLOCK, "q").withColumn("block", F.monotonically_increasing_id()))
+        numbers = stage(blocks.select("block"))
+        spread = _packed(v, CHUNK_ROWS, "v").crossJoin(numbers)
+
+        def meet(batches):
+            for b in batches:
+                for r in range(b.num_rows):
+                    qi, qf, vi, vf = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in ("q_ids", "q_flat", "v_ids", "v_flat"))
+                    best = _Best(qi, k)
+                    best.add(vi, _cosines(qf.reshape(len(qi), -1), vf.reshape(len(vi), -1)))
+                    yield best.batch()
+
+        near = blocks.join(spread, "block").select("q_ids", "q_flat", "v_ids", "v_flat").mapInArrow(meet, _HITS)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 12).desc(), "vec_id")
     return near.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
 

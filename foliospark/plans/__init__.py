@@ -6,7 +6,7 @@ import importlib
 
 from .registry import CORE, Registry
 
-MODULES = ("sessions", "references", "feedback", "corrections", "retrieval", "checks", "images", "events", "publishing", "sampling")
+MODULES = ("sessions", "references", "feedback", "corrections", "retrieval", "checks", "images", "events", "publishing", "sampling", "reports")
 
 
 def load_all() -> Registry:

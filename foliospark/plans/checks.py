@@ -11,6 +11,7 @@ from ..session import read_table, stage
 from .registry import CORE
 
 MIN_ROWS, MAX_BLANK, MIN_INSIDE = 100, 0.05, 0.95
+REQUIRED = ("image_id", "image_png", "transcription", "split")
 _SPLIT = "case when lower(trim(split)) = 'val' then 'validation' else lower(trim(split)) end"
 _WS = r"[\s\x0b\x1c-\x1f\x85\pZ]"
 
@@ -36,9 +37,8 @@ def blank_transcriptions(spark, sf_dir):
 _IHDR = "cast('0x' || substr(hex(image_png), 33, 8) as bigint) as width, cast('0x' || substr(hex(image_png), 41, 8) as bigint) as height"
 
 
-def _sizes(spark, sf_dir):
+def header_sizes(i):
     """Width and height from the header bytes, without decoding; null where there is no PNG header."""
-    i = read_table(spark, sf_dir, "line_images")
     head = F.hex(F.substring("image_png", 1, 24))
     n = lambda at: F.when(head.startswith("89504E470D0A1A0A") & (F.length(head) == 48), F.conv(F.substring(head, at, 8), 16, 10).cast("bigint"))
     return i.select(_split().alias("split"), n(33).alias("width"), n(41).alias("height"))
@@ -50,32 +50,53 @@ def _sizes(spark, sf_dir):
 )
 def image_bounds(spark, sf_dir):
     """Q-I5: pictures whose size lies within the bounds."""
-    s = _sizes(spark, sf_dir).where("width is not null")
+    s = header_sizes(read_table(spark, sf_dir, "line_images")).where("width is not null")
     ok = (F.col("height").between(16, 512) & F.col("width").between(32, 4096)).cast("bigint")
     return s.groupBy("split").agg(F.count("*").alias("n"), F.sum(ok).alias("inside"), F.min("width").alias("min_width"), F.max("width").alias("max_width"))
 
 
+_JUDGED = "case when n = 0 and check_name <> 'I0 any rows' then 'SKIP' when passed then 'PASS' else 'FAIL' end"
+
+
 @CORE.add(
     "ingestion_checks",
     f"""with b as (select count(*) as n, count(*) filter (where regexp_replace(coalesce(transcription, ''), '{_WS}+', '', 'g') = '') as blank from line_images),
     m as (select min(n) as least from (select count(*) as n from line_images group by {_SPLIT})),
+    i as (select count(*) as missing from (select unnest(['image_id', 'image_png', 'transcription', 'split']) as c) where not exists (select 1 from duckdb_columns() k where k.table_name = 'line_images' and k.column_name = c)),
     s as (select count(*) as n, count(*) filter (where height between 16 and 512 and width between 32 and 4096) as inside from (select {_IHDR} from line_images where substr(hex(image_png), 1, 16) = '89504E470D0A1A0A' and length(hex(image_png)) >= 48)),
-    c as (select 'I0 any rows' as check_name, n > 0 as passed from b union all select 'I1 rows per split', coalesce(least, 0) >= 100 from m union all select 'I4 blank transcriptions', case when n = 0 then false else blank / cast(n as double) <= 0.05 end from b union all select 'I5 sizes', case when n = 0 then false else inside / cast(n as double) >= 0.95 end from s)
-    select check_name, passed from c union all select 'all', bool_and(passed) from c""",
+    c as (select b.n, 'I0 any rows' as check_name, b.n > 0 as passed from b union all select b.n, 'I1 rows per split', coalesce(least, 0) >= 100 from m, b union all select b.n, 'I2 columns', missing = 0 from i, b
+      union all select n, 'I4 blank transcriptions', n > 0 and blank / cast(n as double) <= 0.05 from b union all select b.n, 'I5 sizes', s.n > 0 and inside / cast(s.n as double) >= 0.95 from s, b)
+    select check_name, {_JUDGED} as status, case when n = 0 then 0 when passed then 0 else 1 end as exit_code from c
+    union all select 'all', case when max(n) = 0 then 'SKIP' when bool_and(passed) then 'PASS' else 'FAIL' end, case when max(n) = 0 or bool_and(passed) then 0 else 1 end from c""",
 )
 def ingestion_checks(spark, sf_dir):
-    """Q-I0 Q-I1 Q-I4 Q-I5 A12 Q-EXIT: one row for each check and one for all together; an empty table fails."""
-    i = read_table(spark, sf_dir, "line_images")
-    sizes = _sizes(spark, sf_dir)
-    blank = (strip(F.coalesce("transcription", F.lit(""))) == "").cast("bigint")
-    a = i.agg(F.count("*").alias("n"), F.sum(blank).alias("blank"))
-    m = i.groupBy(_split().alias("split")).agg(F.count("*").alias("n")).agg(F.coalesce(F.min("n"), F.lit(0)).alias("least"))
-    ok = (F.col("height").between(16, 512) & F.col("width").between(32, 4096)).cast("bigint")
-    s = sizes.where("width is not null").agg(F.count("*").alias("n"), F.sum(ok).alias("inside"))
-    share = lambda x, n: F.coalesce(F.try_divide(F.col(x), F.col(n)), F.lit(None))
-    rows = a.select(F.lit("I0 any rows").alias("check_name"), (F.col("n") > 0).alias("passed"))
-    rows = rows.union(m.select(F.lit("I1 rows per split"), F.col("least") >= MIN_ROWS)).union(a.select(F.lit("I4 blank transcriptions"), F.coalesce(share("blank", "n") <= MAX_BLANK, F.lit(False)))).union(s.select(F.lit("I5 sizes"), F.coalesce(share("inside", "n") >= MIN_INSIDE, F.lit(False))))
-    return rows.union(rows.agg(F.lit("all"), F.bool_and("passed")))
+    """Q-I0 Q-I1 Q-I2 Q-I4 Q-I5 A12 Q-EXIT: a row for each check and one for all, PASS, FAIL or, for an empty table, SKIP, with the exit code."""
+    return checked(read_table(spark, sf_dir, "line_images"))
+
+
+def checked(images):
+    """``check_name, status, exit_code``; where a column is missing the later checks do not run."""
+    missing = [c for c in REQUIRED if c not in images.columns]
+    n = images.agg(F.count("*").alias("n"))
+    row = lambda df, name, ok: df.select("n", F.lit(name).alias("check_name"), ok.alias("passed"))
+    rows = row(n, "I0 any rows", F.col("n") > 0)
+    if "split" in images.columns:
+        least = images.groupBy(_split().alias("split")).agg(F.count("*").alias("k")).agg(F.coalesce(F.min("k"), F.lit(0)).alias("least"))
+        rows = rows.union(row(n.crossJoin(least), "I1 rows per split", F.col("least") >= MIN_ROWS))
+    else:
+        rows = rows.union(row(n, "I1 rows per split", F.lit(False)))
+    rows = rows.union(row(n, "I2 columns", F.lit(not missing)))
+    if not missing:
+        blank = (strip(F.coalesce("transcription", F.lit(""))) == "").cast("bigint")
+        a = images.agg(F.count("*").alias("n"), F.sum(blank).alias("blank"))
+        ok = (F.col("height").between(16, 512) & F.col("width").between(32, 4096)).cast("bigint")
+        s = header_sizes(images).where("width is not null").agg(F.count("*").alias("k"), F.sum(ok).alias("inside"))
+        share = lambda x, k: F.coalesce(F.try_divide(F.col(x), F.col(k)), F.lit(None))
+        rows = rows.union(row(a, "I4 blank transcriptions", F.coalesce(share("blank", "n") <= MAX_BLANK, F.lit(False)))).union(row(n.crossJoin(s), "I5 sizes", F.coalesce(share("inside", "k") >= MIN_INSIDE, F.lit(False))))
+    status = F.when((F.col("n") == 0) & (F.col("check_name") != "I0 any rows"), "SKIP").when(F.col("passed"), "PASS").otherwise("FAIL")
+    each = rows.select("check_name", status.alias("status"), F.when((F.col("n") == 0) | F.col("passed"), 0).otherwise(1).alias("exit_code"))
+    whole = rows.agg(F.max("n").alias("n"), F.bool_and("passed").alias("passed")).select(F.lit("all"), F.when(F.col("n") == 0, "SKIP").when(F.col("passed"), "PASS").otherwise("FAIL"), F.when((F.col("n") == 0) | F.col("passed"), 0).otherwise(1))
+    return each.union(whole)
 
 
 _PIX = "pix as (select vec_id, label, list_transform(embedding, lambda x: cast(floor((cast(x as double) + 1) * 127.5) as int)) as p from embeddings)"
@@ -215,3 +236,26 @@ def repeated_rows(spark, sf_dir):
         one = read_table(spark, sf_dir, t).groupBy(k).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - F.when(F.col(k).isNull(), 0).otherwise(1)), F.lit(0)).alias("n_repeated")).select(F.lit(t).alias("tab"), "n_repeated")
         out = one if out is None else out.union(one)
     return out
+
+
+_RASTER = f"{_PIX}, k as (select vec_id, list_transform(p, lambda x: case when x < 110 then 1 else 0 end) as k from pix)"
+
+
+@CORE.add("ink_profiles", f"with {_RASTER} select vec_id, array_to_string(list_transform(range(0, 8), lambda y: cast(list_sum(k[y * 8 + 1 : y * 8 + 8]) as int)), ',') as by_row, array_to_string(list_transform(range(0, 8), lambda x: cast(list_sum(list_transform(range(0, 8), lambda y: k[y * 8 + x + 1])) as int)), ',') as by_column from k")
+def ink_profiles(spark, sf_dir):
+    """Dark pixels of each row and column of the small rasters."""
+    k = _pixels(spark, sf_dir).select("vec_id", F.transform("p", lambda x: (x < 110).cast("int")).alias("k"))
+    add = lambda parts: F.aggregate(parts, F.lit(0), lambda a, x: a + x)
+    eight = F.sequence(F.lit(0), F.lit(7))
+    by_row = F.transform(eight, lambda y: add(F.slice("k", y * 8 + 1, F.lit(8))))
+    by_column = F.transform(eight, lambda x: add(F.transform(eight, lambda y: F.element_at("k", (y * 8 + x + 1).cast("int")))))
+    return k.select("vec_id", F.array_join(by_row.cast("array<string>"), ",").alias("by_row"), F.array_join(by_column.cast("array<string>"), ",").alias("by_column"))
+
+
+@CORE.add("pixel_medians", f"with {_PIX} select vec_id, cast(list_aggregate(p, 'median') as double) as median from pix")
+def pixel_medians(spark, sf_dir):
+    """The median pixel of each small raster; the mean of the middle two where their number is even."""
+    p = _pixels(spark, sf_dir).select("vec_id", F.sort_array("p").alias("s"))
+    n = F.size("s")
+    low, high = F.floor((n + 1) / 2).cast("int"), F.floor((n + 2) / 2).cast("int")
+    return p.select("vec_id", ((F.element_at("s", low) + F.element_at("s", high)) / F.lit(2.0)).alias("median"))

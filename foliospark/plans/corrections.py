@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import bucket_10000, sql_bucket, uuid5_dns
 from ..operators import corrections as op
 from ..operators import quality
+from ..operators.order import numbered
 from .registry import CORE
 from .views import CORR, DOCS, FB, PAGES, REGS, corrections, documents, feedback, pages, regions
 
@@ -160,8 +161,42 @@ def asof_text(spark, sf_dir):
     return op.as_of(e, v, "document_id", "t", "at", "corrected_text").select("id", "document_id", "corrected_text")
 
 
-@CORE.add("confirmed_merge", f"with {DOCS} select id, coalesce(tesseract_text, '') || case when coalesce(tesseract_text, '') <> '' and coalesce(htr_text, '') <> '' then chr(10) else '' end || coalesce(htr_text, '') as merged from docs where merged_text is null or deleted_at is not null")
+@CORE.add("confirmed_merge", f"with {DOCS} select id, coalesce(tesseract_text, '') || case when coalesce(tesseract_text, '') <> '' and coalesce(htr_text, '') <> '' then chr(10) else '' end || coalesce(htr_text, '') as merged from docs")
 def confirmed_merge(spark, sf_dir):
-    """Printed and handwritten text put together, for documents that lack a merged text or are deleted."""
+    """Printed and handwritten text put together, for every document."""
     some = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c))
-    return documents(spark, sf_dir).where("merged_text is null or deleted_at is not null").select("id", F.concat_ws("\n", some("tesseract_text"), some("htr_text")).alias("merged"))
+    return documents(spark, sf_dir).select("id", F.concat_ws("\n", some("tesseract_text"), some("htr_text")).alias("merged"))
+
+
+@CORE.add(
+    "review_queue_nested",
+    f"""with {REGS}, {PAGES}, {CORR}, q as (select distinct p.document_id, r.id, r.page_id, case when r.htr_confidence >= 0.85 then 'high' when r.htr_confidence >= 0.6 then 'medium' else 'low' end as badge
+      from regs r join pgs p on r.page_id = p.id where p.htr_flagged and p.document_id is not null and not exists (select 1 from corr where corr.region_id = r.id))
+    select document_id, count(*) as n_regions, to_json(list({{'region_id': id, 'page_id': page_id, 'badge': badge}} order by id, badge)) as regions from q group by 1""",
+)
+def review_queue_nested(spark, sf_dir):
+    """The review queue nested, a document with its regions in order; a document's pages bound its list."""
+    r, p = regions(spark, sf_dir), pages(spark, sf_dir).where("htr_flagged and document_id is not null")
+    j = r.join(p.select(F.col("id").alias("page_id"), "document_id"), "page_id").join(corrections(spark, sf_dir).select(F.col("region_id").alias("id")).where("id is not null").distinct(), "id", "left_anti")
+    badge = F.when(F.col("htr_confidence") >= 0.85, "high").when(F.col("htr_confidence") >= 0.6, "medium").otherwise("low")
+    q = j.select("document_id", F.col("id").alias("region_id"), "page_id", badge.alias("badge")).distinct()
+    ordered = F.sort_array(F.collect_list(F.struct("region_id", "badge", "page_id")))
+    nested = F.to_json(F.transform(ordered, lambda x: F.struct(x["region_id"], x["page_id"], x["badge"])))
+    return q.groupBy("document_id").agg(F.count("*").alias("n_regions"), nested.alias("regions"))
+
+
+@CORE.add("crop_keys", f"with {CORR} select correction_id, regexp_extract(coalesce(crop_s3_url, ''), '^s3://([^/]*)/(?s:.*)$', 1) as bucket, regexp_extract(coalesce(crop_s3_url, ''), '^s3://[^/]*/((?s:.*))$', 1) as key from corr")
+def crop_keys(spark, sf_dir):
+    """Bucket and key of each crop's address, '' where it names none."""
+    url = F.coalesce("crop_s3_url", F.lit(""))
+    part = lambda k: F.regexp_extract(url, r"(?s)^s3://([^/]*)/(.*)\z", k)
+    return corrections(spark, sf_dir).select("correction_id", part(1).alias("bucket"), part(2).alias("key"))
+
+
+@CORE.add(
+    "candidates_in_order",
+    f"with {_ELIGIBLE} select row_number() over (order by us nulls first, region_id) as position, region_id, correction_id from latest",
+)
+def candidates_in_order(spark, sf_dir):
+    """The newest eligible corrections with their place by time, unreadable times first, ties by region."""
+    return numbered(_latest(spark, sf_dir).select("region_id", "correction_id", "at"), [], ["at", "region_id"], "position").select("position", "region_id", "correction_id")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import norm_id, sql_id
 from ..operators import feedback as op
+from ..operators.order import numbered
+from ..session import stage
 from .registry import CORE
 from .views import DOCS, FB, SESS, documents, feedback, sessions
 
@@ -23,9 +25,11 @@ pairs as (select substr(md5(session_id || ':' || document_id || ':' || (case whe
 """
 _NEG = """,
 p as (select *, md5(session_id || '|' || doc_id || '|' || feedback_type || coalesce('|' || query_text, '')) as h from pairs where label = 1 and chunk_text <> '(no text)'),
-ranked as (select *, substr(h, 1, 2) as b, row_number() over (partition by substr(h, 1, 2) order by h, triplet_id) as rn, count(*) over (partition by substr(h, 1, 2)) as n from p),
+nb as (select greatest(1, count(*) // 1000) as nb from p),
+dealt as (select p.*, nb, cast('0x' || substr(h, 1, 8) as bigint) % nb as b from p, nb),
+ranked as (select *, row_number() over (partition by b order by h, triplet_id) as rn, count(*) over (partition by b) as n from dealt),
 sizes as (select b as pb, count(*) as pn from ranked group by 1),
-want as (select r.*, s.pb, cast('0x' || substr(md5(h || 'neg'), 3, 8) as bigint) % s.pn + 1 as pick from ranked r join sizes s on s.pb = substr(md5(h || 'neg'), 1, 2) where rn <= n // 2),
+want as (select r.*, s.pb, cast('0x' || substr(md5(h || 'neg'), 9, 8) as bigint) % s.pn + 1 as pick from ranked r join sizes s on s.pb = cast('0x' || substr(md5(h || 'neg'), 1, 8) as bigint) % nb where rn <= n // 2),
 neg as (select w.session_id, w.query_text, 'synthetic_neg' as doc_id, o.chunk_text as chunk_text, cast(0 as int) as label, w.query_date, w.queried_at, w.split from want w join ranked o on o.b = w.pb and o.rn = w.pick where o.chunk_text <> w.chunk_text)
 """
 
@@ -60,7 +64,7 @@ def time_split_counts(spark, sf_dir):
 @CORE.add("synthetic_negatives", f"with {_PAIRS} {_NEG} select * exclude (queried_at, split) from neg")
 def synthetic_negatives(spark, sf_dir):
     """Negatives drawn from other positives."""
-    return op.synthetic_negatives(_pairs(spark, sf_dir)).drop("queried_at")
+    return op.synthetic_negatives(stage(_pairs(spark, sf_dir))).drop("queried_at")
 
 
 @CORE.add(
@@ -69,7 +73,7 @@ def synthetic_negatives(spark, sf_dir):
 )
 def retrieval_training_set(spark, sf_dir):
     """Pairs and synthetic negatives in one set."""
-    p = _pairs(spark, sf_dir)
+    p = stage(_pairs(spark, sf_dir))  # used for both sides
     n = op.time_split(op.synthetic_negatives(p), "queried_at", AS_OF)
     cols = ["session_id", "query_text", "doc_id", F.md5("chunk_text").alias("chunk_md5"), "label", "query_date", "split"]
     return p.select(*cols).unionByName(n.select(*cols))
@@ -170,3 +174,10 @@ def retrieval_manifest(spark, sf_dir):
     n = lambda c: F.sum(c.cast("bigint"))
     t, v = n(F.col("split") == "train"), n(F.col("split") == "val")
     return _pairs(spark, sf_dir).agg(F.count("*").alias("total"), t.alias("train"), v.alias("val"), n(F.col("label") == 1).alias("positives"), F.ceil(t / 500).alias("train_shards"), F.ceil(v / 500).alias("val_shards"))
+
+
+@CORE.add("feedback_in_order", f"with {_PAIRS} select row_number() over (order by queried_at nulls first, session_id, doc_id, feedback_type) as position, session_id, doc_id, feedback_type from pairs")
+def feedback_in_order(spark, sf_dir):
+    """The labelled pairs with their place by time of the search, ties by session, document and type."""
+    p = _pairs(spark, sf_dir).select("queried_at", "session_id", "doc_id", "feedback_type")
+    return numbered(p, [], ["queried_at", "session_id", "doc_id", "feedback_type"], "position").drop("queried_at")

@@ -57,9 +57,14 @@ def region_features(spark, sf_dir):
 
 @CORE.add("augment_expand")
 def augment_expand(spark, sf_dir):
-    """Three changed copies of each training picture."""
-    train = _images(spark, sf_dir).where(F.lower(F.trim("split")) == "train").dropDuplicates(["image_id"])
-    return op.augmented(train)
+    """Three changed copies of each picture of train, validation and test; val counts as validation.
+
+    Of several rows with one id the least by picture, text and split is taken.
+    """
+    split = F.regexp_replace(F.lower(F.trim("split")), "^val$", "validation").alias("split")
+    i = _images(spark, sf_dir).select("image_id", "image_png", "transcription", split).where("split in ('train', 'validation', 'test')")
+    one = i.groupBy("image_id").agg(F.min(F.struct("image_png", "transcription", "split")).alias("r")).select("image_id", "r.*")
+    return op.augmented(one)
 
 
 @CORE.add("drift_features")

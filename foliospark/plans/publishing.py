@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
 from ..operators.search import keep_latest
-from ..session import read_table, stage
+from ..session import read_table
 from .registry import CORE
 
 _SPLIT = "case when lower(trim(split)) = 'val' then 'validation' else lower(trim(split)) end"
@@ -44,12 +44,7 @@ def numbered_rows(spark, sf_dir):
     Numbers come from a range partition and the counts of the ranges before, so no split is ranked in one task.
     """
     i = read_table(spark, sf_dir, "line_images").select("image_id", _split().alias("split")).distinct()
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = stage(i.repartitionByRange(n, "split", "image_id").withColumn("part", F.spark_partition_id()))
-    local = parts.withColumn("k", F.row_number().over(Window.partitionBy("part", "split").orderBy("image_id")))
-    sizes = parts.groupBy("split", "part").agg(F.count("*").alias("m"))
-    before = sizes.withColumn("off", F.coalesce(F.sum("m").over(Window.partitionBy("split").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("m")
-    return local.join(before, ["split", "part"]).select("image_id", "split", F.format_string("%s_%06d", "split", F.col("k") + F.col("off") - 1).alias("row_id"))
+    return numbered(i, ["split"], ["image_id"], "k").select("image_id", "split", F.format_string("%s_%06d", "split", F.col("k") - 1).alias("row_id"))
 
 
 @CORE.add("seeded_sample", "select image_id from (select distinct image_id from line_images) order by md5('17:' || image_id), image_id limit 50")

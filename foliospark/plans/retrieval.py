@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.ids import norm_id, sql_id
 from ..functions.text import uuid5_dns
 from ..operators import search as op
 from ..session import read_table
 from .registry import CORE
+from .views import CORR, corrections
 
+KEYWORD_HITS = 20
 _CHUNKS = r"""w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\s\x0b\x1c-\x1f\x85\pZ]+'), lambda x: x <> '') as w from documents),
 c as (select doc_id, w[i + 1 : i + 256] as p, i from (select doc_id, w, unnest(range(0, len(w), 64)) as i from w where len(w) >= 10)),
 chunks as (select doc_id, cast(row_number() over (partition by doc_id order by i) - 1 as int) as chunk_index, cast(len(p) as int) as n_words, array_to_string(p, ' ') as chunk_text from c where len(p) >= 10)"""
@@ -61,13 +65,16 @@ def keyword_fallback(spark, sf_dir):
 
 @CORE.add(
     "hybrid_hits",
-    f"with {_TOP}, kw as (select q.vec_id as query_id, v.vec_id // 5 as document, count(*) as n_keyword from embeddings q join embeddings v on q.label = v.label where q.vec_id % 50 = 0 and v.label <> 9 group by 1, 2) select coalesce(f.query_id, k.query_id) as query_id, coalesce(f.document, k.document) as document, f.score as semantic, coalesce(k.n_keyword, 0) as n_keyword from five f full join kw k on f.query_id = k.query_id and f.document = k.document",
+    f"""with {_TOP}, per as (select *, row_number() over (partition by label order by n_keyword desc, document) as rn from (select label, vec_id // 5 as document, count(*) as n_keyword from embeddings where label <> 9 group by 1, 2)),
+    kw as (select q.vec_id as query_id, per.document, per.n_keyword from embeddings q join per on q.label = per.label and per.rn <= 20 where q.vec_id % 50 = 0) select coalesce(f.query_id, k.query_id) as query_id, coalesce(f.document, k.document) as document, f.score as semantic, coalesce(k.n_keyword, 0) as n_keyword from five f full join kw k on f.query_id = k.query_id and f.document = k.document""",
 )
 def hybrid_hits(spark, sf_dir):
-    """Semantic hits and hits by label in one list, each document once for each query."""
+    """Semantic hits and the twenty documents with the most hits by label in one list, each document once for each query."""
     e = read_table(spark, sf_dir, "embeddings")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "label")
     per = e.where("label <> 9").groupBy("label", F.expr("vec_id div 5").alias("document")).agg(F.count("*").alias("n_keyword"))
+    w = Window.partitionBy("label").orderBy(F.col("n_keyword").desc(), "document")
+    per = per.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= KEYWORD_HITS).drop("rn")  # before the join, so no query meets all of its label
     kw = q.join(per, "label").select("query_id", "document", "n_keyword")
     return _top(spark, sf_dir).select("query_id", "document", F.col("score").alias("semantic")).join(kw, ["query_id", "document"], "full").select("query_id", "document", "semantic", F.coalesce("n_keyword", F.lit(0)).alias("n_keyword"))
 
@@ -77,6 +84,32 @@ def hybrid_hits(spark, sf_dir):
     "select doc, vec_id, label from (select vec_id // 5 as doc, vec_id, label, row_number() over (partition by vec_id // 5 order by vec_id desc) as rn from embeddings) where rn = 1",
 )
 def latest_points(spark, sf_dir):
-    """The last version of each point after an upsert."""
+    """The last version of each point after an upsert."""
     e = read_table(spark, sf_dir, "embeddings").select(F.expr("vec_id div 5").alias("doc"), "vec_id", "label")
     return op.keep_latest(e, "doc", F.col("vec_id").desc())
+
+
+@CORE.add(
+    "reindexed_chunks",
+    f"""with {CORR}, newest as (select document_id, max_by((original_text, corrected_text), (us, correction_id)) as c from corr where document_id is not null and us is not null and coalesce(original_text, '') <> '' and corrected_text is not null group by 1),
+    d as (select doc_id, deleted_at is not null as is_deleted, n.c is not null as touched, case when n.c is null then text else replace(text, struct_extract_at(n.c, 1), struct_extract_at(n.c, 2)) end as new_text, text from (select *, {sql_id('id')} as nid from documents) x left join newest n on n.document_id = x.nid),
+    w as (select doc_id, is_deleted, touched, v.old, list_filter(regexp_split_to_array(coalesce(case when v.old then text else new_text end, ''), '[\\s\\x0b\\x1c-\\x1f\\x85\\pZ]+'), lambda x: x <> '') as w from d, (select true as old union all select false) v where v.old or touched),
+    c as (select doc_id, is_deleted, touched, old, w[i + 1 : i + 256] as p, i from (select *, unnest(range(0, len(w), 64)) as i from w where len(w) >= 10)),
+    k as (select *, cast(row_number() over (partition by doc_id, old order by i) - 1 as int) as chunk_index from c where len(p) >= 10),
+    best as (select *, row_number() over (partition by doc_id, chunk_index order by old) as rn from k)
+    select doc_id, chunk_index, md5(array_to_string(p, ' ')) as chunk_md5, not old as is_new, is_deleted, old and touched as is_stale from best where rn = 1""",
+)
+def reindexed_chunks(spark, sf_dir):
+    """Documents whose text a correction changes are chunked anew, and the new points replace the old ones of their id.
+
+    The newest correction's reading is put in place of the machine's. Old points without a successor are stale; all
+    points of deleted documents say so. Only touched documents are chunked twice.
+    """
+    c = corrections(spark, sf_dir).where("document_id is not null and at is not null and coalesce(original_text, '') <> '' and corrected_text is not null")
+    newest = c.groupBy("document_id").agg(F.max_by(F.struct("original_text", "corrected_text"), F.struct("at", "correction_id")).alias("c"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", norm_id("id").alias("document_id"), F.col("deleted_at").isNotNull().alias("is_deleted"), "text").join(newest, "document_id", "left")
+    about = d.select("doc_id", "is_deleted", F.col("c").isNotNull().alias("touched"))
+    old = op.chunks(d, "doc_id", "text").withColumn("is_new", F.lit(False))
+    new = op.chunks(d.where("c is not null").select("doc_id", F.replace("text", F.col("c.original_text"), F.col("c.corrected_text")).alias("t")), "doc_id", "t").withColumn("is_new", F.lit(True))
+    points = op.keep_latest(old.unionByName(new).withColumn("point", F.concat_ws("_", "doc_id", "chunk_index")), "point", F.col("is_new").desc())
+    return points.join(about, "doc_id").select("doc_id", "chunk_index", F.md5("chunk_text").alias("chunk_md5"), "is_new", "is_deleted", (~F.col("is_new") & F.col("touched")).alias("is_stale"))

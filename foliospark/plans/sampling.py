@@ -6,8 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, words
-from ..session import read_table
+from ..operators.feedback import bucketed
+from ..operators.order import numbered
+from ..session import read_table, stage
 from .feedback import _PAIRS, _pairs
+from .checks import _SPLIT, REQUIRED, _split
 from .registry import CORE
 from .views import SESS, sessions
 
@@ -36,14 +39,15 @@ def pool_sample(spark, sf_dir):
 @CORE.add(
     "qa_triplets",
     f"""with {_PAIRS}, p as (select query_text, doc_id, chunk_text, md5(session_id || '|' || doc_id || '|' || feedback_type) as h from pairs where label = 1),
-    r as (select *, lead(doc_id) over w as other, lead(chunk_text) over w as other_text from p window w as (partition by substr(h, 1, 2) order by h, query_text))
+    d as (select *, cast('0x' || substr(h, 1, 8) as bigint) % (select greatest(1, count(*) // 1000) from p) as b from p),
+    r as (select *, lead(doc_id) over w as other, lead(chunk_text) over w as other_text from d window w as (partition by b order by h, query_text))
     select query_text as query, doc_id, md5(chunk_text) as passage_md5, 1 as label from p union all select query_text, other, md5(other_text), 0 from r where other <> doc_id""",
 )
 def qa_triplets(spark, sf_dir):
     """Each positive passage and, with label 0, the next one in hash order where it is of another document."""
-    p = _pairs(spark, sf_dir).where("label = 1").select("query_text", "doc_id", "chunk_text", F.md5(F.concat_ws("|", "session_id", "doc_id", "feedback_type")).alias("h"))
-    w = Window.partitionBy(F.substring("h", 1, 2)).orderBy("h", "query_text")
-    r = p.withColumn("other", F.lead("doc_id").over(w)).withColumn("other_text", F.lead("chunk_text").over(w)).where("other <> doc_id")
+    p = stage(_pairs(spark, sf_dir).where("label = 1")).select("query_text", "doc_id", "chunk_text", F.md5(F.concat_ws("|", "session_id", "doc_id", "feedback_type")).alias("h"))
+    w = Window.partitionBy("b").orderBy("h", "query_text")
+    r = bucketed(p).withColumn("other", F.lead("doc_id").over(w)).withColumn("other_text", F.lead("chunk_text").over(w)).where("other <> doc_id")
     pos = p.select(F.col("query_text").alias("query"), "doc_id", F.md5("chunk_text").alias("passage_md5"), F.lit(1).alias("label"))
     return pos.unionByName(r.select(F.col("query_text").alias("query"), F.col("other").alias("doc_id"), F.md5("other_text").alias("passage_md5"), F.lit(0).alias("label")))
 
@@ -70,11 +74,23 @@ def time_split_14d(spark, sf_dir):
     return _pairs(spark, sf_dir).groupBy(F.when(F.col("queried_at") < cutoff, "train").otherwise("val").alias("split")).agg(F.count("*").alias("n"))
 
 
-REQUIRED = ("image_id", "image_png", "transcription", "split")
-
-
-@CORE.add("required_columns", "select c as column_name, c in ('image_id', 'image_png', 'transcription', 'split', 'source') as present from (select unnest(['image_id', 'image_png', 'transcription', 'split']) as c)")
+@CORE.add("required_columns", "select c as column_name, exists (select 1 from duckdb_columns() k where k.table_name = 'line_images' and k.column_name = c) as present from (select unnest(['image_id', 'image_png', 'transcription', 'split']) as c)")
 def required_columns(spark, sf_dir):
     """Q-I2: which required columns the pictures' table has; read from the schema alone."""
     have = read_table(spark, sf_dir, "line_images").columns
     return spark.createDataFrame([(c, c in have) for c in REQUIRED], "column_name string, present boolean")
+
+
+@CORE.add(
+    "shard_quota",
+    f"""with i as (select distinct image_id, {_SPLIT} as split from line_images), r as (select *, row_number() over (partition by split order by image_id) - 1 as k, count(*) over (partition by split) as n from i)
+    select split, cast(k // 500 as bigint) as shard, count(*) as n_taken from r where k // 500 < 3 and k % 500 < 200 // least(3, (n + 499) // 500) group by 1, 2""",
+)
+def shard_quota(spark, sf_dir):
+    """How many pictures are looked at in the first three shards of 500 of each split: 200 dealt evenly to these shards."""
+    i = read_table(spark, sf_dir, "line_images").select("image_id", _split().alias("split")).distinct()
+    r = stage(numbered(i, ["split"], ["image_id"], "k"))
+    n = r.groupBy("split").agg(F.count("*").alias("n"))
+    k = F.col("k") - 1
+    quota = F.floor(F.lit(200) / F.least(F.lit(3), F.ceil(F.col("n") / 500)))
+    return r.where("k <= 1500").join(n, "split").where(k % 500 < quota).groupBy("split", F.floor(k / 500).alias("shard")).agg(F.count("*").alias("n_taken"))

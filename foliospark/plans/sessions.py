@@ -41,7 +41,14 @@ def p4_sessions(spark, sf_dir):
     return s.select("user_id", "session_no", "start_us", "end_us", (F.col("end_us") - F.col("start_us")).alias("duration_us"), F.col("n_events").alias("n_queries"))
 
 
-@CORE.add("p4_queries")
+@CORE.add(
+    "p4_queries",
+    f"""with {_EVENTS_SQL},
+    texts as (select {sql_id('id')} as id, min(row(epoch_us(queried_at), {sql_id('user_id')}, query_text)) as e from query_sessions where queried_at is not null and {sql_hex('user_id')} is not null and {sql_hex('id')} is not null group by 1
+      union all select null, row(epoch_us(queried_at), {sql_id('user_id')}, query_text) from query_sessions where queried_at is not null and {sql_hex('user_id')} is not null and {sql_hex('id')} is null)
+    select struct_extract_at(t.e, 2) as user_id, cast(n.s as bigint) as session_no, struct_extract_at(t.e, 1) as us, t.id, struct_extract_at(t.e, 3) as query_text
+    from texts t join (select distinct user_id, us, s from numbered) n on struct_extract_at(t.e, 2) = n.user_id and struct_extract_at(t.e, 1) = n.us""",
+)
 def p4_queries(spark, sf_dir):
     """The query_texts of each session, a row for each search, so no session is gathered whole."""
     e = _events(spark, sf_dir).where("user_id is not null and us is not null")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_dir: dict[str, str] = {}
+_staged: list[tuple[SparkSession, str]] = []
 
 
 def get_spark(app: str = "foliospark", master: str = "local[8]", partitions: int = 8) -> SparkSession:
@@ -33,18 +35,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where the cluster names one.
+    """The folder all executors share: ``spark.checkpoint.dir`` where the cluster names one, else the context's own.
 
-    Only where that setting is missing (local tests) a temporary folder of this machine is used.
+    Only a session on this machine alone, as in tests, gets a temporary folder where neither is set.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = tempfile.mkdtemp(prefix="foliospark-")
-        spark.sparkContext.setCheckpointDir(_own_dir[app])
-    return _own_dir[app]
+    sc = spark.sparkContext
+    own = sc._jsc.sc().getCheckpointDir()
+    if own.isDefined():
+        return own.get()
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="foliospark-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -54,8 +59,31 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stage(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back."""
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    The files go once the session ends, or at once by ``drop_staged``.
+    """
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    _staged.append((df.sparkSession, path))
+    if len(_staged) == 1:
+        atexit.register(drop_staged)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+def drop_staged() -> None:
+    """Delete what ``stage`` has written; results read from it must have been written or collected before."""
+    while _staged:
+        spark, path = _staged.pop()
+        try:
+            if spark.sparkContext._jsc is not None:
+                delete(spark, path)
+        except Exception:  # noqa: BLE001 - a session that has ended can delete nothing more
+            return

@@ -19,9 +19,9 @@ def read_shards(spark: SparkSession, base: str, split: str | None = None) -> Dat
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{base}/{split}")
 
 
-def read_archive(spark: SparkSession, base: str) -> DataFrame:
-    """Archived corrections, one JSON object a file under ``date=`` folders; broken files are left out, absent fields are null."""
-    raw = spark.read.schema(f"{ARCHIVE}, date string, _corrupt_record string").option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json").json(base)
+def read_archive(spark: SparkSession, base: str, lines: bool = False) -> DataFrame:
+    """Archived corrections under ``date=`` folders, one JSON object a file or, with ``lines``, one a line; broken ones are left out, absent fields are null."""
+    raw = spark.read.schema(f"{ARCHIVE}, date string, _corrupt_record string").option("multiLine", str(not lines).lower()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json").json(base)
     return raw.where("_corrupt_record is null").drop("_corrupt_record")
 
 
@@ -46,6 +46,14 @@ def write_snapshot(rows: DataFrame, base: str, version: str, split_col: str = "s
     return manifest
 
 
+def ensure_table(spark: SparkSession, name: str, schema: str, location: str | None = None) -> bool:
+    """Creates an empty Parquet table unless there is one; whether it was created. An existing table keeps its rows."""
+    if spark.catalog.tableExists(name):
+        return False
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING PARQUET" + (f" LOCATION '{location}'" if location else ""))
+    return True
+
+
 def register_dataset(registry: DataFrame, entry: DataFrame) -> DataFrame:
     """The registry with an entry added; of several rows with one name the newest stays."""
     return keep_latest(registry.unionByName(entry, allowMissingColumns=True), "name", F.col("downloaded_at").desc_nulls_last(), F.col("id").desc())

@@ -32,18 +32,47 @@ def kafka_topic(spark: SparkSession, topic: str, servers: str) -> DataFrame:
     return raw.select(F.from_json(F.col("value").cast("string"), SCHEMAS[topic]).alias("e")).select("e.*").withColumn("event_time", F.col(TIMES[topic]).try_cast("timestamp"))
 
 
+def archive_rows(rows: DataFrame, target: str, key: str, date_col: str) -> None:
+    """Appends rows not yet archived as JSON under ``date=`` folders; rows given again add nothing.
+
+    Only the keys archived under the rows' own dates are read back.
+    """
+    spark = rows.sparkSession
+    out = rows.withColumn("date", F.coalesce(F.date_format(date_col, "yyyy-MM-dd"), F.lit("unknown"))).dropDuplicates([key])
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        dates = [r[0] for r in out.select("date").distinct().collect()]  # the days of one batch
+        kinds = dict(rows.dtypes)
+        old = spark.read.schema(f"{key} {kinds[key]}, date string").json(target).where(F.col("date").isin(dates)).select(key).distinct()
+        out = out.join(old, key, "left_anti")
+    out.write.mode("append").partitionBy("date").json(target)
+
+
 def archive(stream: DataFrame, target: str, checkpoint: str, key: str, date_col: str = "event_time"):
-    """Appends events not yet archived as JSON under ``date=`` folders; replays add nothing, by an anti-join on the key."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        out = batch.withColumn("date", F.date_format(date_col, "yyyy-MM-dd")).dropDuplicates([key])
-        try:
-            out = out.join(spark.read.json(target).select(key).distinct(), key, "left_anti")
-        except Exception as e:  # the first batch finds no archive
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e) and "UNRESOLVED_COLUMN" not in str(e):
-                raise
-        out.write.mode("append").partitionBy("date").json(target)
+    """``archive_rows`` of every batch of a stream; the same event twice has the same date, so replays add nothing."""
+    write = lambda batch, _: archive_rows(batch, target, key, date_col)
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def replayed(stream: DataFrame, base: str) -> DataFrame:
+    """A stream run until its source is read, its rows as a table below ``base``."""
+    schema, spark = stream.schema, stream.sparkSession
+    q = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
+def score_stream(log: DataFrame, reference: DataFrame, value: str, limit: float = 3.0) -> DataFrame:
+    """``log`` with score and is_drift: how many deviations a value lies off the mean of ``reference`` (one row: m, d); nulls are left out."""
+    score = F.abs(F.col(value) - F.col("m")) / F.col("d")
+    return log.where(F.col(value).isNotNull()).crossJoin(F.broadcast(reference)).withColumn("score", score).withColumn("is_drift", score > limit).drop("m", "d")
+
+
+def into_table(stream: DataFrame, table: str, checkpoint: str):
+    """Appends a stream to a Parquet table batch by batch; a batch that is tried again replaces its own rows."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -72,7 +101,8 @@ def dedup_by_gap(stream: DataFrame, keys: list[str], ts: str, minutes: int = 5,
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(parts)).sort_values(ts, kind="stable")
+        rows = pd.concat(list(parts))
+        rows = rows.sort_values([ts, *(c for c in rows.columns if c == "id")], kind="stable")  # equal times by id
         last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
         keep = []
         for t in rows[ts]:

@@ -66,7 +66,7 @@ def test_regions_at_their_thresholds():
     page[10:25, 20:75] = 0  # 15 rows high
     page[40:54, 20:75] = 0  # 14 rows: too low
     page[80:100, 2:60] = 0  # to the bottom
-    assert kernels.regions(page) == [(15, 10, 80, 25), (0, 80, 65, 100)]
+    assert kernels.regions(page) == [(15, 10, 79, 25), (0, 80, 64, 100)]  # the right edge is the last dark column plus the padding
     assert kernels.regions(np.full((50, 50), 255, np.uint8)) == []
 
 
