@@ -96,10 +96,11 @@ def _pack_block(block: int, doc: np.ndarray, piece: np.ndarray, size: np.ndarray
             nxt[s] += 1
             bin_no[r], place[r], start[r] = k, j, at
             at += s
-    empty = np.flatnonzero(size == 0)  # need no room: the first container takes them after its items
-    base = len(bins[0]) if bins else 0
-    place[empty] = base + np.arange(len(empty))
-    start[empty] = sum(bins[0]) if bins else 0
+    empty = np.flatnonzero(size == 0)  # need no room: they are dealt to the containers in turn, after their items
+    turn = np.arange(len(empty))
+    full, used = np.array([len(b) for b in bins] or [0]), np.array([sum(b) for b in bins] or [0])
+    own = turn % len(full)
+    bin_no[empty], place[empty], start[empty] = own, full[own] + turn // len(full), used[own]
     rows[:] = block
     return pd.DataFrame({"doc_id": doc, "piece_no": piece, "n_tokens": size, "block": rows, "bin": bin_no, "place": place, "start": start})
 
@@ -108,7 +109,7 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY,
     """``doc_id, piece_no, n_tokens, container, place, start`` of every item.
 
     Items longer than ``capacity`` are cut into full pieces and a rest; all others stay whole. Items of size 0 or
-    null get a place that takes no room. Repeated rows are packed as often as they come.
+    null get a place that takes no room, in the containers of their block in turn. Repeated rows are packed as often as they come.
     """
     s = items.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(size_col), F.lit(0)).cast("bigint").alias("n"))
     full = F.greatest(F.ceil(F.col("n") / capacity).cast("int"), F.lit(1))
