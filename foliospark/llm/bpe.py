@@ -9,10 +9,12 @@ its own bytes, so the result is exact. Texts are split into words by the vocabul
 from __future__ import annotations
 
 import base64
+import os
 from itertools import chain
 
 import numpy as np
 import regex
+from pyspark import SparkFiles
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the vocabulary's public pattern, white space written as the Unicode property.
@@ -140,8 +142,19 @@ class ByteBpe:
 _loaded: dict[str, ByteBpe] = {}
 
 
+def ship(context, path: str = VOCABULARY) -> None:
+    """Sends the vocabulary file to the executors, once for a context."""
+    name = os.path.basename(path)
+    if not any(os.path.basename(f) == name for f in context.listFiles):
+        context.addFile(path)
+
+
 def encoder(path: str = VOCABULARY) -> ByteBpe:
-    """One encoder for each worker process."""
+    """One encoder for each worker process, from the shipped file or else the path itself."""
     if path not in _loaded:
-        _loaded[path] = ByteBpe(path)
+        try:
+            shipped = SparkFiles.get(os.path.basename(path))
+        except Exception:  # noqa: BLE001 - no Spark here
+            shipped = path
+        _loaded[path] = ByteBpe(shipped if os.path.exists(shipped) else path)
     return _loaded[path]

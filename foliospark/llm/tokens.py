@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import VOCABULARY, encoder
+from .bpe import VOCABULARY, encoder, ship
 
 
 def encode_texts(docs: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -25,6 +25,7 @@ def encode_texts(docs: DataFrame, id_col: str, text_col: str, vocabulary: str =
             flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "ids"])
 
+    ship(docs.sparkSession.sparkContext, vocabulary)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
@@ -37,4 +38,5 @@ def count_tokens(docs: DataFrame, id_col: str, text_col: str, vocabulary: str =
             n = [len(x) for x in e.encode_batch(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], ["doc_id", "n_tokens"])
 
+    ship(docs.sparkSession.sparkContext, vocabulary)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, n_tokens int")
