@@ -18,6 +18,8 @@ import numpy as np
 WINDOW, STRIDE = 24, 12
 DIM, HIDDEN, BUCKETS = 24, 16, 1 << 14
 MAX_POSITIVE, MAX_NEGATIVE = 1000, 6000
+#: Characters of the labelled texts together; the sample ends, in hash order, before the text that passes it.
+MAX_CHARS = 60_000_000
 WORDS_KEPT = 200_000
 
 #: Letters of other scripts and signs that stand for a Latin letter.
