@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 GAP_US = 30 * 60 * 1_000_000
 SLAB_US = 6 * 3600 * 1_000_000
 
@@ -61,7 +63,8 @@ def sessions(times: DataFrame, gap_us: int = GAP_US, slab_us: int = SLAB_US) ->
 
     A gap of exactly ``gap_us`` does not part. Equal times belong to one session. An empty table gives none.
     """
-    m = marked_events(times, gap_us, slab_us)
+    # only starts and ends go on; written once, for both are read from it
+    m = stage(marked_events(times, gap_us, slab_us).where("is_start = 1 or is_end = 1"))
     starts = m.where("is_start = 1").select("user_id", F.col("start_rank").alias("session_no"), F.col("us").alias("start_us"), (F.col("seen") - F.col("n")).alias("before"))
     ends = m.where("is_end = 1").select("user_id", F.col("end_rank").alias("session_no"), F.col("us").alias("end_us"), F.col("seen").alias("upto"))
     return starts.join(ends, ["user_id", "session_no"]).select("user_id", "session_no", "start_us", "end_us", (F.col("upto") - F.col("before")).alias("n_events"))
