@@ -98,3 +98,35 @@ def drift_features(images: DataFrame, id_col: str, png_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pairs], pa.string()), pa.array([kernels.grid_feature(g) for _, g in pairs], pa.list_(pa.float64()))], ["image_id", "feature"])
 
     return images.select(F.col(id_col).cast("string").alias("i"), F.col(png_col).alias("p")).mapInArrow(run, "image_id string, feature array<double>")
+
+
+def tensors(images: DataFrame, id_col: str, png_col: str, height: int = 64, width: int = 512) -> DataFrame:
+    """``image_id, height, width, pixels``: pictures resized to one size, aspect not kept, as rows of floats in [0, 1]; broken pictures give none."""
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                p = b.slice(at, 64)
+                ok = [(i, kernels.resize(g, height, width).reshape(-1).astype(np.float32) / np.float32(255)) for i, d in zip(p.column(0).to_pylist(), p.column(1).to_pylist()) if (g := _gray(d)) is not None]
+                n = height * width
+                flat = np.concatenate([x for _, x in ok]) if ok else np.empty(0, np.float32)
+                size = [pa.array([v] * len(ok), pa.int32()) for v in (height, width)]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in ok], pa.string()), *size, pa.ListArray.from_arrays(pa.array(np.arange(len(ok) + 1) * n, pa.int32()), pa.array(flat))], ["image_id", "height", "width", "pixels"])
+
+    return images.select(F.col(id_col).cast("string").alias("i"), F.col(png_col).alias("p")).mapInArrow(run, "image_id string, height int, width int, pixels array<float>")
+
+
+def sample_pictures(images: DataFrame, n: int, seed: int = 17) -> DataFrame:
+    """``n`` pictures (image_id, image_png) that decode, the first by a seeded hash of their ids; ValueError where there are fewer.
+
+    Only as many pictures as needed are decoded, unless most are broken.
+    """
+    order = [F.xxhash64(F.lit(seed), "image_id"), F.col("image_id")]
+    one = images.groupBy("image_id").agg(F.min("image_png").alias("image_png"))
+    for many in (2 * n, 16 * n, None):
+        some = one.orderBy(*order).limit(many) if many else one
+        good = picture_stats(some, "image_id", "image_png").where("decodes").select("image_id")
+        found = some.join(good, "image_id", "left_semi").orderBy(*order).limit(n)  # the sample's own size
+        if found.count() == n:
+            return found
+    raise ValueError(f"fewer than {n} pictures decode")

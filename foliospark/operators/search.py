@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -119,6 +121,26 @@ def top_k(queries: DataFrame, vectors: DataFrame, id_col: str, vec_col: str, k:
     return near.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).drop("rn")
 
 
+def encoded(texts: DataFrame, id_col: str, text_col: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = 256) -> DataFrame:
+    """``id, embedding``: texts as vectors by any encoder.
+
+    ``encoder`` makes, once in each task, a function from a list of texts to a matrix with a row for each; so a model is
+    loaded by the workers and never pickled. Null texts are encoded as empty ones.
+    """
+    kind = dict(texts.dtypes)[id_col]
+
+    def run(batches):
+        encode = encoder()
+        for b in batches:
+            for at in range(0, b.num_rows, batch):
+                p = b.slice(at, batch)
+                m = np.asarray(encode([t or "" for t in p.column(1).to_pylist()]), np.float32)
+                ends = np.arange(len(m) + 1, dtype=np.int32) * (m.shape[1] if m.ndim == 2 else 0)
+                yield pa.RecordBatch.from_arrays([p.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(m.reshape(-1)))], ["id", "embedding"])
+
+    return texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"id {kind}, embedding array<float>")
+
+
 def best_per_document(hits: DataFrame, document: Column, k: int) -> DataFrame:
     """The best hit of each document, then the k best documents; fewer where the hits share documents."""
     h = hits.withColumn("document", document)

@@ -10,7 +10,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Registry:
-    """Queries by name, each with SQL where DuckDB can express it."""
+    """Queries by name, each with SQL where DuckDB can express it. Times are UTC, so a query sets its session's zone to UTC."""
 
     def __init__(self) -> None:
         self.queries: dict[str, Query] = {}

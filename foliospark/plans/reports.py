@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import sql_bucket
 from ..functions.times import read_time
 from ..operators import corrections as op
-from ..operators import images, quality
+from ..operators import drift, images, quality
 from ..session import read_table, shared_dir, stage
 from ..sources.archive import read_archive, read_shards, write_snapshot
 from ..streaming.jobs import TIMES, archive_rows, dedup_by_gap, into_table, read_topic, replayed
@@ -219,3 +219,11 @@ def drift_reference(spark, sf_dir):
     i = read_table(spark, sf_dir, "line_images").where(_split() == "train").select("image_id", "image_png").distinct()
     f = images.drift_features(i, "image_id", "image_png").select(F.posexplode("feature").alias("place", "x"))
     return f.groupBy("place").agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("mean"), F.round(F.stddev_pop("x"), 6).alias("deviation"))
+
+
+@CORE.add("drift_pictures")
+def drift_pictures(spark, sf_dir):
+    """Windows of twenty validation and test pictures against 500 training pictures, with a threshold from permutations."""
+    i = read_table(spark, sf_dir, "line_images").select("image_id", "image_png", _split().alias("split")).distinct()
+    of = lambda where: images.drift_features(i.where(where), "image_id", "image_png")
+    return drift.drift_windows(of("split = 'train'"), of("split in ('validation', 'test')"))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from foliospark.functions import kernels
 from foliospark.functions.png import decode, encode, gray
 from foliospark.operators import corrections as corr
-from foliospark.operators import images
+from foliospark.operators import drift, images
 from foliospark.operators.order import numbered
-from foliospark.operators.search import top_k
+from foliospark.operators.search import encoded, top_k
 from foliospark.plans.events import alert_windows, traffic
 from foliospark.plans.reports import report
 from foliospark.session import drop_staged, shared_dir, stage
@@ -168,6 +168,34 @@ def test_hashes_and_features_of_simple_pictures():
     assert up.shape == (4, 4) and (up == np.rint(up)).all()
 
 
+def test_drift_is_seen_and_seldom_false(spark):
+    r = np.random.default_rng(3)
+    ref = spark.createDataFrame([(f"r{k}", r.normal(size=8).tolist()) for k in range(300)], "image_id string, feature array<double>")
+    new = spark.createDataFrame([(f"n{k:03d}", (r.normal(size=8) + (1.0 if k >= 200 else 0.0)).tolist()) for k in range(401)], "image_id string, feature array<double>")
+    rows = {x.window_no: (x.n, x.is_drift) for x in drift.drift_windows(ref, new).collect()}
+    assert len(rows) == 20 and all(n == 20 for n, _ in rows.values())
+    assert sum(d for w, (_, d) in rows.items() if w < 10) <= 1 and all(d for w, (_, d) in rows.items() if w >= 10)
+    with pytest.raises(ValueError):
+        drift.calibrated(np.zeros((30, 2)))
+
+
+def test_any_encoder_and_tensors(spark):
+    df = spark.createDataFrame([(1, "a bb"), (2, None), (3, "")], "doc_id bigint, text string")
+    got = {r.id: r.embedding for r in encoded(df, "doc_id", "text", lambda: lambda texts: np.array([[len(t), t.count("b")] for t in texts]), batch=2).collect()}
+    assert got == {1: [4.0, 2.0], 2: [0.0, 0.0], 3: [0.0, 0.0]}
+    p = spark.createDataFrame([("a", encode(np.full((10, 30), 51, np.uint8))), ("x", b"")], "image_id string, image_png binary")
+    (t,) = images.tensors(p, "image_id", "image_png").collect()
+    assert (t.image_id, t.height, t.width, len(t.pixels)) == ("a", 64, 512, 64 * 512) and np.allclose(t.pixels, 0.2)
+
+
+def test_sample_of_pictures_that_decode(spark):
+    df = _pictures(spark, 60).union(spark.createDataFrame([(f"x{k}", b"broken", "t", "val") for k in range(60)], PICTURE))
+    a, b = ([r.image_id for r in images.sample_pictures(df, 20).collect()] for _ in range(2))
+    assert a == b and len(set(a)) == 20 and all(x.startswith("i") for x in a)
+    with pytest.raises(ValueError):
+        images.sample_pictures(df, 61)
+
+
 def test_staged_tables_can_be_dropped(spark):
     t = stage(spark.range(3))
     assert t.count() == 3 and shared_dir(spark)
