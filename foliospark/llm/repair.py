@@ -478,12 +478,15 @@ class Reader:
         furniture = self.furniture(lines, odd) if len(lines) > 1 else set()
         if self.asked is None:
             return "\n\n".join(self._mended(p) for p in self._paragraphs(lines, furniture) if p)
-        for always in (True, False):  # whichever way a broken word is joined
-            for p in self._paragraphs(lines, furniture, always):
-                self._mended(p)
+        for p in self._paragraphs(lines, furniture, True):
+            self._mended(p)
+        joints: list[tuple[int, int]] = []  # the other way to join a broken word concerns its neighbours alone
+        other = self._paragraphs(lines, furniture, False, joints)
+        for k, j in joints:
+            self._mended(other[k][max(0, j - 2) : j + 3])
         return ""
 
-    def _paragraphs(self, lines: list[str], furniture: set[int], always: bool | None = None) -> list[list[str]]:
+    def _paragraphs(self, lines: list[str], furniture: set[int], always: bool | None = None, joints: list | None = None) -> list[list[str]]:
         paragraphs: list[list[str]] = [[]]
         broken = False
         after_furniture = False
@@ -505,6 +508,8 @@ class Reader:
                 left = paragraphs[-1].pop()
                 kind, _, _ = self._break(left, words[0])
                 words[0] = (left[:-1] if (kind if always is None else always) else left) + words[0]
+                if joints is not None:
+                    joints.append((len(paragraphs) - 1, len(paragraphs[-1])))
             broken = bool(HYPHEN.search(words[-1])) and len(words[-1]) > 1
             paragraphs[-1] += words
         return paragraphs
@@ -524,15 +529,18 @@ class Reader:
         return " ".join(out)
 
 
-def text_tokens(text: str, mend: bool) -> set[str]:
-    """The tokens of a text whose verdicts a reader may want; to mend, also broken words joined over up to four lines of furniture."""
+def text_tokens(text: str, mend: bool, odd: list[int] = ()) -> set[str]:
+    """The tokens of a text whose verdicts a reader may want; to mend, also broken words joined with the next line, over ``odd`` ones, which may be furniture."""
     out = set(text.split())
     if mend:
-        rows = [w for w in map(str.split, text.split("\n")) if w]
-        for k, words in enumerate(rows):
+        rows = [(i, w) for i, w in enumerate(map(str.split, text.split("\n"))) if w]
+        skipped = set(odd)
+        for k, (_, words) in enumerate(rows):
             if HYPHEN.search(words[-1]) and len(words[-1]) > 1:
-                for later in rows[k + 1 : k + 6]:
+                for i, later in rows[k + 1 :]:
                     out |= {words[-1][:-1] + later[0], words[-1] + later[0]}
+                    if i not in skipped:
+                        break
     return out
 
 

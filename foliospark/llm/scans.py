@@ -266,7 +266,7 @@ def _chunk_questions(chunked: DataFrame, fields: list[str], mend: bool) -> DataF
                     own, now = set(), chunk
                 for t, lines in zip(texts, odd):
                     if t:
-                        own |= {("t", x, None) for x in text_tokens(t, mend)}
+                        own |= {("t", x, None) for x in text_tokens(t, mend, lines)}
                         keys, pairs = line_questions(t, lines)
                         own |= {("l", x, None) for x in keys}
                         own |= {("b", None, x) for x in pairs}
