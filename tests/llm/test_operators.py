@@ -3,6 +3,7 @@
 import os
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -123,6 +124,44 @@ def test_a_hot_group_keeps_its_newest(spark):
     assert [(r.n_records, r.text_from, r.user_from) for r in survive(df).collect()] == [(3000, "00999", "00999")]
 
 
+def _members(texts, filled=None):
+    return [("g", f"r{k:04}", t, f"{2400 - k}-01-01", (filled or {}).get(k), (filled or {}).get(k)) for k, t in enumerate(texts)]
+
+
+def test_members_beyond_the_gathered_ones_count(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "group_id string, record_id string, text string, at string, user_id string, url string").withColumn("at", F.col("at").cast("timestamp"))
+    pick = lambda rows, *how: [(r.text_from, r.consensus) for r in survive(frame(rows), *how).collect()]
+    # the newest outweighs all others together, which as doubles sum up to the same
+    assert pick(_members(["a"] + ["a b"] * 70)) == [("r0000", "a")]
+    # none of the gathered values is the elected text, an older one is
+    texts = [("p b c d", "a q c d", "a b r d", "a b c s")[k % 4] for k in range(400)]
+    texts[300] = "a b c d"
+    assert pick(_members(texts), 3.0) == [("r0300", "a b c d")]
+    # r0000 with a quarter and r0006 with the whole weigh the same, r0200 decides
+    texts = [f"w k{k}" for k in range(300)]
+    texts[0], texts[6] = "w x", "w y"
+    assert pick(_members(texts, {6: "u"}), 3.0, ("url",)) == [("r0000", "w x")]
+    texts[200] = "w y"
+    assert pick(_members(texts, {6: "u"}), 3.0, ("url",)) == [("r0006", "w y")]
+
+
+def test_a_settled_election_is_that_of_all_members():
+    r = random.Random(5)
+    for _ in range(150):
+        h, full = r.choice([0.7, 1.0, 2.5, 3.0]), 8
+        rows = [([r.choice("abc") for _ in range(r.randint(1, 4))], r.choice([2, 5, 8])) for _ in range(r.randint(2, 30))]
+        e, early = survivors.Election(h, full), None
+        for tokens, complete in rows:
+            if e.add(tokens, complete) and early is None:
+                early = e.text()
+        cols, total = [], Fraction(0)
+        for k, (tokens, complete) in enumerate(rows):
+            w = Fraction(2.0 ** -(k % h / h)) / 2 ** int(k // h) * complete
+            cols = survivors._align(cols, tokens, float(w), float(total), w, total)
+            total += w
+        assert e.text() == survivors._elected(cols) and early in (None, e.text())
+
+
 # components
 
 
