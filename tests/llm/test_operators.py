@@ -348,6 +348,42 @@ def test_heavy_seeds_are_lengthened_and_lose_no_copy(spark, monkeypatch):
     assert pairs() == plain
 
 
+def test_no_seed_or_chain_is_left_out(spark, monkeypatch):
+    # changed copies share fewer fingerprints in a row; all are heavy
+    rows = []
+    for k in range(6):
+        for how in ("same", "specks", "shift", "blur"):
+            rows.append((f"{k} {how}", encode(_changed(_line(k), how, k)), "t", "train" if how == "same" else "val", "s"))
+    df = spark.createDataFrame(rows, "image_id string, image_png binary, transcription string, split string, source string")
+    pairs = lambda: sorted(tuple(r) for r in record_pairs(*cross_split_pairs(df)).select("eval_id", "train_id", "coverage", "score").collect())
+    plain = pairs()
+    monkeypatch.setattr(leakage, "HEAVY", 0.5)
+    assert pairs() == plain and len(plain) > 12
+
+
+@pytest.mark.parametrize("heavy", [7, 10**6])
+def test_chains_against_brute_force(spark, monkeypatch, heavy):
+    monkeypatch.setattr(leakage, "HEAVY", heavy)
+    r = random.Random(3)
+    prints = []
+    for k in range(40):
+        places = sorted(r.sample(range(120), r.choice([0, 1, 8, 40])))
+        prints.append((k, int(k % 3 > 0), int(k % 3 == 0 or k % 7 == 0), [r.choice([1, 2, 3, r.randrange(4, 40)]) for _ in places], places))
+    want = {}
+    for ke, _, in_eval, he, pe in prints:
+        for kt, in_train, _, ht, pt in prints:
+            if in_eval and in_train and ke != kt and he and ht:
+                hits = [(a - b, a) for x, a in zip(he, pe) for y, b in zip(ht, pt) if x == y]
+                for s in {h + d for h, _ in hits for d in (-1, 0, 1)}:
+                    at = [a for h, a in hits if abs(h - s) <= 1]
+                    if len(at) >= max(1, int(min(len(he), len(ht)) * leakage.SHARE)) and max(at) - min(at) >= int(leakage.SPAN * min(pe[-1] - pe[0], pt[-1] - pt[0])):
+                        want.setdefault((ke, kt), set()).add((s, len(at)))
+    df = spark.createDataFrame(prints, "key bigint, in_train int, in_eval int, hashes array<bigint>, places array<int>")
+    got = {(x.ke, x.kt): x.chains for x in leakage._chains(df).collect()}
+    assert {p: {(c.shift, c.k) for c in cs} for p, cs in got.items()} == want
+    assert all(len(cs) == len(want[p]) and cs[0].k == max(c.k for c in cs) for p, cs in got.items())
+
+
 def test_fingerprints_do_not_depend_on_the_batch():
     inks = [strokes.ink(encode(_line(k, 120 + 10 * k))) for k in range(5)]
     alone = [strokes.fingerprints([x])[0] for x in inks]
