@@ -143,6 +143,8 @@ def test_members_beyond_the_gathered_ones_count(spark):
     assert pick(_members(texts, {6: "u"}), 3.0, ("url",)) == [("r0000", "w x")]
     texts[200] = "w y"
     assert pick(_members(texts, {6: "u"}), 3.0, ("url",)) == [("r0006", "w y")]
+    numbered = frame(_members(texts, {6: "u"})).withColumn("group_id", F.lit(3).cast("bigint"))
+    assert [(r.group_id, r.text_from) for r in survive(numbered, 3.0, ("url",)).collect()] == [(3, "r0006")]
 
 
 def test_a_settled_election_is_that_of_all_members():
